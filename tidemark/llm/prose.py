@@ -52,14 +52,15 @@ def _is_odd(word: str) -> bool:
 
 
 def _cycle(words: list[str]) -> float:
-    """Share of words equal to the word one period before, for the best of the first periods found."""
+    """Share of words equal to the word one period before, for the best of the first periods found, which
+    are at most half the text."""
     n = len(words)
     if n < 6:
         return 0.0
     best = 0.0
     for start in {0, n // 3}:
         head, found = words[start], 0
-        for j in range(start + 1, min(n - 2, start + 400)):
+        for j in range(start + 1, min(n - 2, start + min(400, n // 2) + 1)):
             if words[j] == head and words[j + 1] == words[start + 1]:
                 p = j - start
                 best = max(best, sum(a == b for a, b in zip(words, words[p:])) / (n - p))
@@ -217,7 +218,7 @@ def kind_of(limit: float = LIMIT) -> Column:
     noise = (F.col("symbol_ratio") > 0.45) | (F.col("digit_ratio") > 0.3) | (F.col("inner_capitals") > 0.3)
     return (
         F.when((F.col("distance") <= limit), "prose")
-        .when((F.col("cycle_share") > 0.93) | (F.col("odd_words") > 0.3), "junk")
+        .when((F.col("cycle_share") > 0.95) | (F.col("odd_words") > 0.3), "junk")
         .when(F.col("cell_share") > 0.5, "table")
         .when(F.col("item_share") > 0.5, "list")
         .when(nonsense | noise | ((F.col("words") == 0) & (F.col("symbol_ratio") > 0)), "junk")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import encode, pii, prose
+from tidemark.llm import canonical, encode, pii, prose
 from tidemark.sources.tables import load
 
 
@@ -18,6 +18,19 @@ def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "yelp_review").select("row_id", "review_id", pii.redact(F.col("text")).alias("text"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    mapped = canonical.map_rows(load(spark, d, "yelp_business"), "business_id", "city", "state", load(spark, d, "city_ref"), "city_id", "city", "state")
+    return mapped.select("business_id", F.col("entry").cast("int").alias("city_id"))
+
+
+def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Values that no entry was found for, and how many businesses have them."""
+    rows = load(spark, d, "yelp_business")
+    mapped = canonical.map_to_reference(rows, "city", "state", load(spark, d, "city_ref"), "city_id", "city", "state")
+    lost = mapped.filter(F.col("entry") == canonical.UNMATCHED).select("value").distinct()
+    return rows.select("business_id", F.col("city").alias("value")).join(lost, "value").groupBy("value").agg(F.countDistinct("business_id").alias("n"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_table(load(spark, d, "documents"), "doc_id", "text")
 
@@ -36,5 +49,5 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
     return _classified(spark, d).select("doc_id", "language", "words", *prose.STATS, "distance", *parts, "kind")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p8_ids, p10_found, p10_stats)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_unmatched, p8_ids, p10_found, p10_stats)}
 SQL: dict[str, str] = {}
