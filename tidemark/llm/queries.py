@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import canonical, encode, pii, prose
+from tidemark.llm import canonical, encode, pii, prose, toxicity
 from tidemark.sources.tables import load
 
 
@@ -31,6 +31,30 @@ def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("business_id", F.col("city").alias("value")).join(lost, "value").groupBy("value").agg(F.countDistinct("business_id").alias("n"))
 
 
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    """One row per distinct review with its source and score. Deliveries repeat a review's text, so any row's score is the
+    review's; a review delivered by several sources counts for the least of their names."""
+    rows, labels = load(spark, d, "yelp_review"), load(spark, d, "review_label")
+    model = toxicity.train(*toxicity.sample(rows, "review_id", "text", labels, "review_id", "toxic"))
+    return toxicity.score(rows, ["review_id", "source"], "text", model).filter(F.col("review_id").isNotNull())
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).filter(F.col("score") > toxicity.THRESHOLD).select("review_id").distinct()
+
+
+def p7_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).groupBy("review_id").agg(F.min("source").alias("source"), F.max("score").alias("score"))
+
+
+def p7_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Per source: distinct reviews, how many are over the threshold, and the rate."""
+    flagged = F.col("score") > toxicity.THRESHOLD
+    return p7_scores(spark, d).groupBy("source").agg(
+        F.count(F.lit(1)).alias("reviews"), F.count_if(flagged).alias("toxic"), F.avg(flagged.cast("double")).alias("rate"), F.avg("score").alias("mean_score")
+    )
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_table(load(spark, d, "documents"), "doc_id", "text")
 
@@ -49,5 +73,5 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
     return _classified(spark, d).select("doc_id", "language", "words", *prose.STATS, "distance", *parts, "kind")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_unmatched, p8_ids, p10_found, p10_stats)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_unmatched, p7_found, p7_scores, p7_rates, p8_ids, p10_found, p10_stats)}
 SQL: dict[str, str] = {}

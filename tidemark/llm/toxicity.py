@@ -9,7 +9,8 @@ where a negative part that falls below zero is pushed back, as the non-negative
 text has mostly harmless sentences, so a first fit takes all of its sentences as P and a second only the one
 that scores highest. The prior is estimated from the share of U that reaches the score that half of P reaches.
 
-A text's score is the logistic of its highest sentence, over the whole text. Tokens are folded so that masked,
+A text's score is the logistic of its highest sentence, over the whole text; a sentence ends at a stop, a line end or
+tag, and where a capital follows a small letter (stops are often left out). Tokens are folded so that masked,
 spaced, respelled and look-alike spellings meet: look-alike letters and digits are mapped, invisible characters
 dropped, runs collapsed, and each token also counts as the set of its letters, which swapped letters share.
 
@@ -75,7 +76,7 @@ class Features:
         self.known: dict[str, tuple[int, int, int]] = {}
 
     def _token(self, raw: str) -> tuple[int, int, int]:
-        if raw == "\x1e":
+        if raw == "\ue000":
             return 0, 0, 1
         t = fold(raw)
         if not t:
@@ -87,7 +88,8 @@ class Features:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(features [tokens, 4], start of each sentence, text of each sentence); index 0 is no feature."""
         t = pc.fill_null(texts.cast(pa.string()), "")
-        t = pc.replace_substring_regex(t, r"<[^>]{0,200}>|\n+", " \x1e ")
+        t = pc.replace_substring_regex(t, r"<[^>]{0,200}>|\n+", " \ue000 ")
+        t = pc.replace_substring_regex(t, r"([\p{Ll}\p{N}]) +(\p{Lu}\p{Ll})", "\\1 \ue000 \\2")
         words = pc.utf8_split_whitespace(pc.utf8_lower(t))
         sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False)
         coded = words.flatten().dictionary_encode()
@@ -132,8 +134,7 @@ class Model:
     prior: float
 
     def sentences(self, features: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        per_token = self.weights[features].sum(1)
-        return np.add.reduceat(per_token, starts) + self.bias if len(starts) else np.zeros(0)
+        return np.add.reduceat(self.weights[features].sum(1), starts) + self.bias if len(starts) else np.zeros(0)
 
     def scores(self, texts: pa.Array, make: Features) -> np.ndarray:
         out = np.zeros(len(texts))
@@ -144,7 +145,7 @@ class Model:
         return out
 
 
-def _fit(p, u, prior: float, epochs: int, rate: float, l2: float) -> tuple[np.ndarray, float]:
+def _fit(p, u, prior: float, epochs: int, rate: float, l2: float, floor: float) -> tuple[np.ndarray, float]:
     """nnPU by full-batch Adagrad; ``p`` and ``u`` are (features, sentence of each token, number of sentences)."""
     w, b = np.zeros(DIMENSIONS), -2.0
     gw, gb = np.full(DIMENSIONS, 1e-8), 1e-8
@@ -168,7 +169,7 @@ def _fit(p, u, prior: float, epochs: int, rate: float, l2: float) -> tuple[np.nd
         step[0] = 0
         gw += step * step
         gb += bias * bias
-        w -= rate * step / np.sqrt(gw)
+        w = np.maximum(w - rate * step / np.sqrt(gw), floor)
         b -= rate * bias / np.sqrt(gb)
     return w, b
 
@@ -193,11 +194,20 @@ def _highest(z: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return top
 
 
-def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epochs: int = 60, rate: float = 0.3, l2: float = 1e-7) -> Model:
+def _cut(p: np.ndarray, u: np.ndarray) -> float:
+    """The threshold that maximises recall squared over the share flagged, which ranks thresholds as F1 does
+    but needs no confirmed harmless texts."""
+    at = np.unique(np.quantile(p, np.linspace(0.01, 0.6, 60)))
+    gain = [np.mean(p >= t) ** 2 / max(np.mean(u >= t), 1 / len(u)) for t in at]
+    return float(at[int(np.argmax(gain))])
+
+
+def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epochs: int = 60, rate: float = 0.3, l2: float = 1e-6, floor: float = -0.2, slack: float = 3.0) -> Model:
     """A model from confirmed and unlabelled texts. Without confirmed texts every score is near 0.
 
     Sentences and the prior are judged across two folds, each by the model of the other, so neither rests on
-    scores of the texts that were fitted.
+    scores of the texts that were fitted. The fit takes ``slack`` times the estimated prior: too small a prior loses
+    toxic texts, too large a one costs little, as the negative part of the risk can't fall below zero.
     """
     make = Features()
 
@@ -220,7 +230,7 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
             mine, other = (p_doc % 2 == fold, u_doc % 2 == fold), (p_doc % 2 != fold, u_doc % 2 != fold)
             if not all(x.any() for x in (*mine, *other)):
                 continue
-            model = _fit(_part(p, mine[0]), _part(u, mine[1]), prior / per_text, epochs, rate, l2)
+            model = _fit(_part(p, mine[0]), _part(u, mine[1]), slack * prior / per_text, epochs, rate, l2, floor)
             zp[other[0]], zu[other[1]] = _logits(_part(p, other[0]), model), _logits(_part(u, other[1]), model)
         top_p, top_u = _highest(zp, p_doc), _highest(zu, u_doc)
         half = np.median(top_p[np.unique(p_doc)])
@@ -230,8 +240,8 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
             keep = (zp == top_p[p_doc]) & (zp > np.quantile(zu, 1 - min(0.2, 3 * prior / per_text)))
             if keep.sum() >= 4:
                 p, p_doc = _part(p, keep), p_doc[keep]
-    w, b = _fit(p, u, prior / per_text, epochs, rate, l2)
-    return Model(w, b, prior)
+    w, b = _fit(p, u, slack * prior / per_text, epochs, rate, l2, floor)
+    return Model(w, b - _cut(top_p[np.unique(p_doc)], top_u[np.unique(u_doc)]), prior)
 
 
 def sample(texts: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, label: str) -> tuple[list[str], list[str]]:
