@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import canonical, encode, pii, prose, toxicity
+from tidemark.llm import canonical, encode, neardup, pii, prose, toxicity
 from tidemark.sources.tables import load
 
 
@@ -18,6 +18,16 @@ def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "yelp_review").select("row_id", "review_id", pii.redact(F.col("text")).alias("text"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = neardup.linked_pairs(load(spark, d, "yelp_review"), "review_id", "text")
+    return pairs.select(F.col("key_a").alias("review_id_a"), F.col("key_b").alias("review_id_b"))
+
+
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Every distinct review with its group and its number of links."""
+    return neardup.groups(load(spark, d, "yelp_review"), "review_id", "text").withColumnRenamed("key", "review_id")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     mapped = canonical.map_rows(load(spark, d, "yelp_business"), "business_id", "city", "state", load(spark, d, "city_ref"), "city_id", "city", "state")
     return mapped.select("business_id", F.col("entry").cast("int").alias("city_id"))
@@ -73,5 +83,5 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
     return _classified(spark, d).select("doc_id", "language", "words", *prose.STATS, "distance", *parts, "kind")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_unmatched, p7_found, p7_scores, p7_rates, p8_ids, p10_found, p10_stats)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_unmatched, p7_found, p7_scores, p7_rates, p8_ids, p10_found, p10_stats)}
 SQL: dict[str, str] = {}
