@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import canonical, encode, neardup, pii, prose, toxicity
+from tidemark.llm import canonical, encode, mixing, neardup, pii, prose, toxicity
 from tidemark.sources.tables import load
 
 
@@ -69,6 +69,15 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_table(load(spark, d, "documents"), "doc_id", "text")
 
 
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The selected documents, the source each stands for, its uses and its tokens."""
+    return mixing.select_mix(load(spark, d, "documents"), "doc_id", "text", "source", load(spark, d, "mix_target"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(p9_mix(spark, d), load(spark, d, "mix_target"))
+
+
 def _classified(spark: SparkSession, d: str) -> DataFrame:
     return prose.classify(load(spark, d, "documents"), "doc_id", "text", "lang", load(spark, d, "common_word"))
 
@@ -83,5 +92,5 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
     return _classified(spark, d).select("doc_id", "language", "words", *prose.STATS, "distance", *parts, "kind")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_unmatched, p7_found, p7_scores, p7_rates, p8_ids, p10_found, p10_stats)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_unmatched, p7_found, p7_scores, p7_rates, p8_ids, p9_mix, p9_shares, p10_found, p10_stats)}
 SQL: dict[str, str] = {}
