@@ -336,10 +336,10 @@ def variant_extract(spark, d):
     return raw.select("event_id", F.try_variant_get("v", "$.k", "bigint").alias("k"))
 
 
-@query("SELECT row_id, CAST(floor(stars + 0.5) AS INTEGER) AS whole FROM yelp_review")
+@query("SELECT row_id, CAST(floor(stars + 0.5) AS DOUBLE) AS whole FROM yelp_review")
 def whole_stars(spark, d):
     """Ratings as a number type without scale holds them."""
-    return load(spark, d, "yelp_review").select("row_id", F.col("stars").cast("decimal(38,0)").cast("int").alias("whole"))
+    return load(spark, d, "yelp_review").select("row_id", F.col("stars").cast("decimal(38,0)").cast("double").alias("whole"))
 
 
 # ---- dedup, sampling, partitioning ------------------------------------------------------------------------
