@@ -141,7 +141,9 @@ class Model:
         features, starts, doc = make(texts)
         if len(starts):
             first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-            out[doc[first]] = 1 / (1 + np.exp(-np.clip(np.maximum.reduceat(self.sentences(features, starts), first), -30, 30)))
+            worded = np.logical_or.reduceat(features[:, 0] != 0, starts)
+            top = np.maximum.reduceat(np.where(worded, self.sentences(features, starts), -np.inf), first)
+            out[doc[first]] = np.where(np.isneginf(top), 0, 1 / (1 + np.exp(-np.clip(top, -30, 30))))
         return out
 
 
