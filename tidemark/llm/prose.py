@@ -36,13 +36,13 @@ FLOOR = {"log_words": 0.3, "mean_word_length": 0.3, "words_per_line": 0.5}  # le
 FLOOR_ELSE = 0.04
 
 _WORD = re.compile(r"[^\W_]+(?:['’\-][^\W_]+)*")
-_ENDED = re.compile(r"[.!?…。！？]['\"”’»)\]]*\s*$")
+_STOPS = frozenset(".!?…。！？")
+_PARTS = re.compile(r"[,;•·/]|\band\b")
 _BULLET = re.compile(r"\s*(?:[-–—*•·»›+◦‣▪]|\[[ xX]?\]|\(?\d{1,3}[.)]|\(?[A-Za-z][.)]|#\d+)\s+\S")
 _CELLS = re.compile(r"\s*\|\s*|\t+|\s*;\s*|(?<=\S)(?: {2,})(?=\S)")
 _LEADER = re.compile(r"\S\s*(?:\.{3,}|…|_{3,}|-{3,})\s*\S+\s*$")
 _ODD = re.compile(r"(?i)[bcdfghjklmnpqrstvwxz]{5}|^[bcdfghjklmnpqrstvwxz]{4,}$|[aeiou]{4}|^.{25,}$|\d[^\W\d]+\d|[^\W\d]\d+[^\W\d]|q[^u]|[jvwxz][jqvxz]|[vwxj]$")
 _INNER = re.compile(r"[a-zß-ÿ][A-Z]|\d[A-Z]|[A-Z]{2}[a-z]")
-_SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n+")
 
 
 @lru_cache(1 << 16)
@@ -74,43 +74,44 @@ def statistics(text: str | None, common: dict[str, frozenset[str]]) -> tuple[str
     """(language by common words, number of words, statistics in the order of ``STATS``)."""
     if not text or not text.strip():
         return None, 0, [0.0] * len(STATS)
-    words = _WORD.findall(text.lower())
+    lines, sizes, words = [], [], []
+    for line in text.lower().split("\n"):
+        body = line.strip()
+        if body:
+            found = _WORD.findall(body)
+            lines.append((body, found))
+            sizes.append(len(found) or 1)
+            words += found
     n = len(words)
     counts = Counter(words)
     shares = {g: sum(counts[w] for w in ws.intersection(counts)) / max(1, n) for g, ws in common.items()}
     lang = max(sorted(shares), key=shares.get) if shares and max(shares.values()) > 0.1 else None
     share = max(shares.values()) if shares else 0.0
     visible = sum(map(len, text.split()))
-    letters = sum(map(str.isalpha, text))
-    digits = sum(map(str.isdigit, text))
-    lines = [x for x in text.split("\n") if x.strip()]
-    items = cells = 0
-    ended = 0
-    weight = 0
-    sizes = []
-    for line in lines:
-        size = len(_WORD.findall(line)) or 1
-        sizes.append(size)
-        weight += size
-        ended += bool(_ENDED.search(line))
-        body = line.strip()
-        pieces = [p for p in _CELLS.split(body) if p.strip()]
-        dense = len(pieces) >= 3 and size <= 6 * len(pieces)
-        if (dense or (len(pieces) == 2 and (body.count("|") or "\t" in body))) and sum(len(p.split()) <= 6 for p in pieces) >= 0.7 * len(pieces):
-            cells += size
-        elif _BULLET.match(line) and size <= 15:
-            items += size
-        elif _LEADER.search(body) and size <= 12:
+    run = "".join(words)
+    digits = sum(map(text.count, "0123456789"))
+    letters = len(run) - sum(map(run.count, "'’-")) - digits
+    items = cells = ended = 0
+    weight = sum(sizes)
+    for (body, found), size in zip(lines, sizes):
+        ended += body.rstrip("'\"”’»)]")[-1:] in _STOPS
+        if "|" in body or "\t" in body or ";" in body or "  " in body:
+            pieces = [p for p in _CELLS.split(body) if p.strip()]
+            dense = len(pieces) >= 3 and size <= 6 * len(pieces)
+            if (dense or (len(pieces) == 2 and ("|" in body or "\t" in body))) and sum(len(p.split()) <= 6 for p in pieces) >= 0.7 * len(pieces):
+                cells += size
+                continue
+        if size <= 15 and (_BULLET.match(body) or (size <= 12 and _LEADER.search(body))):
             items += size
         elif "," in body and size > 5:
-            parts = [p for p in re.split(r"[,;•·/]|\band\b", body) if p.strip()]
-            short = [p for p in parts if len(p.split()) <= 5]
-            if len(parts) >= 5 and len(short) >= 0.8 * len(parts) and len(re.findall(r"[.!?](?:\s|$)", body)) <= 1 + len(parts) // 10:
-                items += size
-        elif len(lines) >= 4 and size <= 8:
-            low = _WORD.findall(body.lower())
-            if sum(any(w in ws for ws in common.values()) for w in low) <= 0.25 * len(low):
-                items += size
+            most = 1 + sum(map(body.count, ",;•·/")) + body.count("and")
+            if most >= 5 and size <= 8 * most and body.count(". ") + body.count("! ") + body.count("? ") <= 1 + most // 10:
+                parts = [p for p in _PARTS.split(body) if p.strip()]
+                short = sum(len(p.split()) <= 5 for p in parts)
+                if len(parts) >= 5 and short >= 0.8 * len(parts):
+                    items += size
+        elif len(lines) >= 4 and size <= 8 and sum(any(w in ws for ws in common.values()) for w in found) <= 0.25 * len(found):
+            items += size
     odd = sum(c for w, c in counts.items() if _is_odd(w))
     inner = len(_INNER.findall(text))
     values = [
@@ -120,7 +121,7 @@ def statistics(text: str | None, common: dict[str, frozenset[str]]) -> tuple[str
         digits / max(1, visible),
         ended / len(lines),
         share,
-        min(6.0, math.log1p(float(np.median(sizes)))),
+        min(6.0, math.log1p(sorted(sizes)[len(sizes) // 2])),
         items / weight,
         cells / weight,
         odd / max(1, n),
