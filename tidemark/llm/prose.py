@@ -216,7 +216,7 @@ def prose_model(stats: DataFrame, steps: int = 2) -> dict[str, tuple[np.ndarray,
 def kind_of(limit: float = LIMIT) -> Column:
     """list, table, junk or prose, of a row with statistics and distance."""
     nonsense = (F.col("odd_words") > 0.12) & (F.col("common_words") < 0.3)
-    noise = (F.col("symbol_ratio") > 0.45) | (F.col("digit_ratio") > 0.3) | (F.col("inner_capitals") > 0.3)
+    noise = (F.col("symbol_ratio") > 0.2) | (F.col("digit_ratio") > 0.3) | (F.col("inner_capitals") > 0.3)
     return (
         F.when((F.col("distance") <= limit), "prose")
         .when((F.col("cycle_share") > 0.95) | (F.col("odd_words") > 0.3), "junk")
