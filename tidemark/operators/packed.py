@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import spread
+
 # Characters that an unquoted value consists of, besides letters and digits.
 VALUE_CHARS = " &/-'().:+"
 
@@ -107,9 +109,9 @@ def _explode(batches: Iterable[pa.RecordBatch], ids: list[str], field: str) -> I
 def explode_packed(df: DataFrame, ids: list[str], field: str) -> DataFrame:
     """``ids``, ``pos`` (from 1) and ``val`` of every value in ``field``.
 
-    A narrow, map-only operator: no shuffle, and only ``ids`` and ``field`` are read. Other columns of
+    A map-only operator (an input smaller than the cores is dealt out first); only ``ids`` and ``field`` are read. Other columns of
     ``df``, whatever their names, are left out.
     """
     narrow = df.select(*[F.col(f"`{c}`") for c in ids], F.col(f"`{field}`").cast("string").alias("__packed"))
     schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in ids), "pos bigint", "val string"])
-    return narrow.filter(F.length("__packed") > 0).mapInArrow(lambda it: _explode(it, ids, "__packed"), schema)
+    return spread(narrow.filter(F.length("__packed") > 0)).mapInArrow(lambda it: _explode(it, ids, "__packed"), schema)

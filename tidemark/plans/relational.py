@@ -9,6 +9,7 @@ from tidemark.functions import hashing, normalize, sentiment, text, validate
 from tidemark.operators import aggregate, dedup, joins, partitioning, sampling, transform
 from tidemark.plans import warehouse
 from tidemark.schemas import VALID, business_flags, checkin_flags, record_json, review_flags, user_flags
+from tidemark.session import spread
 from tidemark.sources.jsonl import synthetic
 from tidemark.sources.tables import businesses_v, load, reviews_v
 
@@ -48,37 +49,45 @@ def _clean_sql(column: str) -> str:
     return f"trim(regexp_replace(lower({out}), '[{_WS}]+', ' ', 'g'), ' ')"
 
 
+_NEEDED = {"yelp_review": ["row_id", "text", "stars", "useful", "funny", "cool"], "documents": ["doc_id", "lang", "text"]}
+
+
+def _texts(spark: SparkSession, d: str, table: str) -> DataFrame:
+    """The columns of a table of texts that these queries read, dealt out over the cores where it is small."""
+    return spread(load(spark, d, table).select(*_NEEDED[table]))
+
+
 # ---- text ------------------------------------------------------------------------------------------------
 
 
 @query(f"SELECT lang, count(*) AS docs, avg(CAST(len({_WORDS}) AS DOUBLE)) AS avg_words, count(*) FILTER (len({_WORDS}) > 50) AS long_docs FROM (SELECT lang, {_clean_sql('text')} AS text FROM documents) GROUP BY 1")
 def word_summary(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: clean every document, count words, summarise per language."""
-    cleaned = load(spark, d, "documents").select("lang", text.clean_text(F.col("text"), unicode=False).alias("text"))
+    cleaned = _texts(spark, d, "documents").select("lang", text.clean_text(F.col("text"), unicode=False).alias("text"))
     n = text.word_count(F.col("text"))
     return cleaned.select("lang", n.alias("n")).groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.avg(F.col("n").cast("double")).alias("avg_words"), F.count_if(F.col("n") > 50).alias("long_docs"))
 
 
 @query(f"SELECT row_id, {_clean_sql('text')} AS cleaned FROM yelp_review")
 def clean_reviews(spark, d):
-    return load(spark, d, "yelp_review").select("row_id", text.clean_text(F.col("text"), unicode=False).alias("cleaned"))
+    return _texts(spark, d, "yelp_review").select("row_id", text.clean_text(F.col("text"), unicode=False).alias("cleaned"))
 
 
 @query()
 def clean_reviews_nfkc(spark, d):
-    return load(spark, d, "yelp_review").select("row_id", text.clean_text(F.col("text")).alias("cleaned"))
+    return _texts(spark, d, "yelp_review").select("row_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
 @query(f"""SELECT count(*) AS total_cleaned, count(*) FILTER (length(coalesce(text, '')) = 0) AS empty_inputs,
     CAST(sum(greatest(0, length(coalesce(text, '')) - length({_clean_sql('text')}))) AS BIGINT) AS chars_removed, CAST(0 AS BIGINT) AS truncated FROM yelp_review""")
 def cleaner_counters(spark, d):
-    df = load(spark, d, "yelp_review").select("text", text.clean_text(F.col("text"), unicode=False).alias("cleaned"))
+    df = _texts(spark, d, "yelp_review").select("text", text.clean_text(F.col("text"), unicode=False).alias("cleaned"))
     return text.cleaner_stats(df, "text", "cleaned")
 
 
 @query(f"SELECT row_id, regexp_extract_all(coalesce(text, ''), '{text.EMAIL}') AS emails, regexp_extract_all(coalesce(text, ''), '{text.PHONE}') AS phones FROM yelp_review")
 def extract_contacts(spark, d):
-    return load(spark, d, "yelp_review").select("row_id", text.extract_emails(F.col("text")).alias("emails"), text.extract_phones(F.col("text")).alias("phones"))
+    return _texts(spark, d, "yelp_review").select("row_id", text.extract_emails(F.col("text")).alias("emails"), text.extract_phones(F.col("text")).alias("phones"))
 
 
 @query(f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
@@ -90,7 +99,7 @@ def extract_contacts(spark, d):
     CASE WHEN n > 0 THEN CAST(len(list_distinct(list_transform(w, lambda x: lower(x)))) AS DOUBLE) / n ELSE 0.0 END AS diversity FROM s""")
 def text_statistics(spark, d):
     c = F.col("text")
-    return load(spark, d, "documents").select("doc_id", *[v.alias(k) for k, v in text.text_stats(c).items()], text.lexical_diversity(c).alias("diversity"))
+    return _texts(spark, d, "documents").select("doc_id", *[v.alias(k) for k, v in text.text_stats(c).items()], text.lexical_diversity(c).alias("diversity"))
 
 
 @query(f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
@@ -98,14 +107,14 @@ def text_statistics(spark, d):
     CAST(list_sum(list_transform(w, lambda x: greatest(1, len(regexp_extract_all(x, '{text.VOWELS}'))))) AS DOUBLE) AS y FROM t)
     SELECT doc_id, CASE WHEN n > 0 THEN round(CAST(206.835 AS DOUBLE) - CAST(1.015 AS DOUBLE) * (CAST(n AS DOUBLE) / p) - CAST(84.6 AS DOUBLE) * (y / n), 2) ELSE 0.0 END AS ease FROM s""")
 def reading_levels(spark, d):
-    return load(spark, d, "documents").select("doc_id", text.reading_ease(F.col("text")).alias("ease"))
+    return _texts(spark, d, "documents").select("doc_id", text.reading_ease(F.col("text")).alias("ease"))
 
 
 @query(f"""WITH w AS (SELECT doc_id, unnest({_WORDS}) AS w, generate_subscripts({_WORDS}, 1) AS pos FROM documents),
     b AS (SELECT doc_id, pos, trim(lower(w), '.,!?;:"''') AS word FROM w), c AS (SELECT doc_id, word, count(*) AS n, min(pos) AS first FROM b WHERE word <> '' AND NOT list_contains({_STOPS}, word) GROUP BY 1, 2)
     SELECT doc_id, word, n, rank FROM (SELECT doc_id, word, n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first) AS rank FROM c) WHERE rank <= 3""")
 def top_words(spark, d):
-    return text.top_words(load(spark, d, "documents"), "doc_id", "text", 3)
+    return text.top_words(_texts(spark, d, "documents"), "doc_id", "text", 3)
 
 
 # ---- records ---------------------------------------------------------------------------------------------
@@ -114,7 +123,7 @@ def top_words(spark, d):
 @query(f"""SELECT row_id, coalesce(useful, 0) + coalesce(funny, 0) + coalesce(cool, 0) AS total_votes, coalesce(stars >= 4, false) AS is_positive, coalesce(stars <= 2, false) AS is_negative,
     CAST(len({_WORDS}) AS INTEGER) AS word_count FROM yelp_review""")
 def review_model(spark, d):
-    df = load(spark, d, "yelp_review")
+    df = _texts(spark, d, "yelp_review")
     return df.select("row_id", *[v.alias(k) for k, v in review_flags().items()])
 
 
@@ -470,17 +479,17 @@ _LABEL = "CASE WHEN polarity > 0.1 THEN 'positive' WHEN polarity < -0.1 THEN 'ne
 
 @query(f"WITH {_POLARITY} SELECT row_id, polarity AS sentiment_polarity, subjectivity AS sentiment_subjectivity, {_LABEL} AS sentiment_label FROM p")
 def lexicon_sentiment(spark, d):
-    return sentiment.enrich(load(spark, d, "yelp_review").select("row_id", "text"), backend="lexicon").drop("text")
+    return sentiment.enrich(_texts(spark, d, "yelp_review").select("row_id", "text"), backend="lexicon").drop("text")
 
 
 @query(f"WITH {_POLARITY} SELECT {_LABEL} AS label, count(*) AS n FROM p GROUP BY 1")
 def label_histogram(spark, d):
-    return aggregate.label_histogram(sentiment.enrich(load(spark, d, "yelp_review").select("text"), backend="lexicon"))
+    return aggregate.label_histogram(sentiment.enrich(_texts(spark, d, "yelp_review").select("text"), backend="lexicon"))
 
 
 @query(f"WITH {_POLARITY} SELECT count(*) AS total, count(*) FILTER (polarity > 0.1) AS positive, count(*) FILTER (polarity < -0.1) AS negative, count(*) FILTER (polarity BETWEEN -0.1 AND 0.1) AS neutral FROM p")
 def label_counts(spark, d):
-    return sentiment.label_counts(sentiment.enrich(load(spark, d, "yelp_review").select("text"), backend="lexicon"))
+    return sentiment.label_counts(sentiment.enrich(_texts(spark, d, "yelp_review").select("text"), backend="lexicon"))
 
 
 @query("SELECT source, 'Neutral' AS label, count(*) AS n FROM yelp_review GROUP BY 1")

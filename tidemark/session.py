@@ -45,6 +45,13 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores, for work that is heavy per row. Inputs of several splits a
+    core, as all large ones are, stay as they are; a small file in one split is dealt out."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def health_check(spark: SparkSession) -> bool:
     """``SELECT 1`` answers."""
     try:
