@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import spread
+
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k"
 
@@ -110,7 +112,7 @@ def encode_table(df: DataFrame, key: str, text: str, folder: str = TOKENIZERS, v
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], [key, "ids"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").cast("string").alias("__text")).mapInArrow(encode, f"`{key}` {kind}, ids array<int>")
+    return spread(df.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").cast("string").alias("__text"))).mapInArrow(encode, f"`{key}` {kind}, ids array<int>")
 
 
 def token_count(text: Column, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> Column:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, spread
 
 STATS = (
     "log_words", "mean_word_length", "symbol_ratio", "digit_ratio", "ended_lines", "common_words", "words_per_line",
@@ -156,7 +156,7 @@ def document_statistics(df: DataFrame, key: str, text: str, lang: str, common: D
 
     schema = f"`{key}` {kind}, language string, words bigint, " + ", ".join(f"{s} double" for s in STATS)
     narrow = df.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{lang}`").cast("string").alias("__lang"))
-    return narrow.mapInArrow(scan, schema)
+    return spread(narrow).mapInArrow(scan, schema)
 
 
 def _with_distance(stats: DataFrame, model: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import canonical, encode, mixing, neardup, pii, prose, toxicity
+from tidemark.session import spread
 from tidemark.sources.tables import load
 
 
@@ -15,7 +16,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
     """Every delivery of a review with typed placeholders in its text."""
-    return load(spark, d, "yelp_review").select("row_id", "review_id", pii.redact(F.col("text")).alias("text"))
+    return spread(load(spark, d, "yelp_review").select("row_id", "review_id", "text")).select("row_id", "review_id", pii.redact(F.col("text")).alias("text"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

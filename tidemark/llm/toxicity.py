@@ -29,6 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import spread
+
 MAX_POSITIVE = 3000
 MAX_UNLABELLED = 10_000
 DIMENSIONS = 1 << 18
@@ -282,4 +284,4 @@ def score(texts: DataFrame, columns: list[str], text: str, model: Model) -> Data
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(mine.scores(batch.column(last), make), pa.float64())], [*columns, "score"])
 
     schema = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in columns)
-    return texts.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").cast("string").alias("__text")).mapInArrow(scan, f"{schema}, score double")
+    return spread(texts.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").cast("string").alias("__text"))).mapInArrow(scan, f"{schema}, score double")
