@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.text import strip_punctuation, text_of, words
+from tidemark.functions.text import bind, strip_punctuation, text_of, words
 
 POSITIVE, NEGATIVE = 0.1, -0.1
 
@@ -39,11 +39,16 @@ def _textblob(s: pd.Series) -> pd.DataFrame:
 
 def lexicon_score(c: Column) -> Column:
     w = words(F.lower(strip_punctuation(text_of(c))))
-    good, bad = F.size(F.filter(w, lambda x: x.isin(*GOOD))), F.size(F.filter(w, lambda x: x.isin(*BAD)))
-    hits = good + bad
-    polarity = F.when(hits > 0, (good - bad) / hits).otherwise(0.0)
-    subjectivity = F.when(F.size(w) > 0, hits / F.size(w)).otherwise(0.0)
-    return F.struct(polarity.alias("polarity"), subjectivity.alias("subjectivity"))
+
+    def counts(w: Column) -> Column:
+        return F.struct(F.size(F.filter(w, lambda x: x.isin(*GOOD))).alias("good"), F.size(F.filter(w, lambda x: x.isin(*BAD))).alias("bad"), F.size(w).alias("n"))
+
+    def score(s: Column) -> Column:
+        hits = s["good"] + s["bad"]
+        polarity = F.when(hits > 0, (s["good"] - s["bad"]) / hits).otherwise(0.0)
+        return F.struct(polarity.alias("polarity"), F.when(s["n"] > 0, hits / s["n"]).otherwise(0.0).alias("subjectivity"))
+
+    return bind(bind(w, counts), score)
 
 
 def sentiment(c: Column, backend: str = "auto") -> Column:

@@ -98,39 +98,64 @@ def words(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.size(words(c))
+    return F.regexp_count(text_of(c), F.lit(f"[^{WS}]+"))
 
 
-def text_stats(c: Column) -> dict[str, Column]:
-    """char_count, word_count, sentence_count, unique_words, avg_word_length and stopword_ratio."""
-    t, w = text_of(c), words(c)
-    n = F.size(w)
-    low = F.transform(w, F.lower)
-    pieces = F.size(F.filter(F.split(t, r"[.!?]+"), lambda s: strip(s) != ""))
-    stops = F.size(F.filter(low, lambda x: x.isin(*STOPWORDS)))
-    letters = F.aggregate(w, F.lit(0), lambda acc, x: acc + F.length(x))
+def bind(value: Column, f) -> Column:
+    """``f`` of a value that is worked out once, however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]
+
+
+def packed_stats(c: Column) -> Column:
+    """What ``text_stats`` is made of, as one struct; the words are cut once."""
+    t = text_of(c)
+    # a sentence is a run without stops that holds a character other than white space
+    pieces = F.regexp_count(t, F.lit(f"[^.!?{WS}][^.!?]*"))
+
+    def parts(w: Column) -> Column:
+        stops = F.size(F.filter(w, lambda x: F.lower(x).isin(*STOPWORDS)))
+        unique = F.size(F.array_distinct(F.transform(w, F.lower)))
+        return F.struct(F.size(w).alias("n"), stops.alias("stops"), unique.alias("unique"), F.length(F.array_join(w, "")).alias("letters"), pieces.alias("pieces"), F.length(t).alias("chars"))
+
+    return bind(words(c), parts)
+
+
+def stats_of(s: Column) -> dict[str, Column]:
+    """char_count, word_count, sentence_count, unique_words, avg_word_length, stopword_ratio and diversity of a packed struct."""
+    n = s["n"]
     return {
-        "char_count": F.length(t),
+        "char_count": s["chars"],
         "word_count": n,
-        "sentence_count": F.when(n > 0, F.greatest(F.lit(1), pieces)).otherwise(0),
-        "unique_words": F.size(F.array_distinct(low)),
-        "avg_word_length": F.when(n > 0, letters / n).otherwise(0.0),
-        "stopword_ratio": F.when(n > 0, stops / n).otherwise(0.0),
+        "sentence_count": F.when(n > 0, F.greatest(F.lit(1), s["pieces"])).otherwise(0),
+        "unique_words": s["unique"],
+        "avg_word_length": F.when(n > 0, s["letters"] / n).otherwise(0.0),
+        "stopword_ratio": F.when(n > 0, s["stops"] / n).otherwise(0.0),
+        "diversity": F.when(n > 0, s["unique"] / n).otherwise(0.0),
     }
 
 
+def text_stats(c: Column) -> dict[str, Column]:
+    return stats_of(packed_stats(c))
+
+
+def add_text_stats(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
+    """``keep`` and the statistics; the packed struct is a column of its own, so it is worked out once a row."""
+    packed = df.select(*keep, packed_stats(F.col(column)).alias("__packed"))
+    return packed.select(*keep, *[v.alias(k) for k, v in stats_of(F.col("__packed")).items()])
+
+
 def lexical_diversity(c: Column) -> Column:
     w = words(c)
     return F.when(F.size(w) > 0, F.size(F.array_distinct(F.transform(w, F.lower))) / F.size(w)).otherwise(0.0)
 
 
-def reading_ease(c: Column) -> Column:
-    """Flesch reading ease to two places, 0 for a text without words; a syllable is a group of vowels."""
+def reading_ease(c: Column, places: int | None = 2) -> Column:
+    """Flesch reading ease, rounded to ``places``; 0 for a text without words; a syllable is a group of vowels."""
     w = words(c)
     n, sentences = F.size(w), text_stats(c)["sentence_count"]
     syllables = F.aggregate(w, F.lit(0), lambda acc, x: acc + F.greatest(F.lit(1), F.regexp_count(x, F.lit(VOWELS))))
     ease = F.lit(206.835) - F.lit(1.015) * (n / sentences) - F.lit(84.6) * (syllables / n)
-    return F.when(n > 0, F.round(ease, 2)).otherwise(0.0)
+    return F.when(n > 0, ease if places is None else F.round(ease, places)).otherwise(0.0)
 
 
 def top_words(df: DataFrame, key: str, text: str, n: int = 10, exclude_stopwords: bool = True) -> DataFrame:

@@ -98,16 +98,15 @@ def extract_contacts(spark, d):
     CASE WHEN n > 0 THEN CAST(len(list_filter(w, lambda x: list_contains({_STOPS}, lower(x)))) AS DOUBLE) / n ELSE 0.0 END AS stopword_ratio,
     CASE WHEN n > 0 THEN CAST(len(list_distinct(list_transform(w, lambda x: lower(x)))) AS DOUBLE) / n ELSE 0.0 END AS diversity FROM s""")
 def text_statistics(spark, d):
-    c = F.col("text")
-    return _texts(spark, d, "documents").select("doc_id", *[v.alias(k) for k, v in text.text_stats(c).items()], text.lexical_diversity(c).alias("diversity"))
+    return text.add_text_stats(_texts(spark, d, "documents"), "text", ["doc_id"])
 
 
 @query(f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
     s AS (SELECT doc_id, w, len(w) AS n, greatest(1, len(list_filter(regexp_split_to_array(t, '[.!?]+'), lambda x: {_strip('x')} <> ''))) AS p,
     CAST(list_sum(list_transform(w, lambda x: greatest(1, len(regexp_extract_all(x, '{text.VOWELS}'))))) AS DOUBLE) AS y FROM t)
-    SELECT doc_id, CASE WHEN n > 0 THEN round(CAST(206.835 AS DOUBLE) - CAST(1.015 AS DOUBLE) * (CAST(n AS DOUBLE) / p) - CAST(84.6 AS DOUBLE) * (y / n), 2) ELSE 0.0 END AS ease FROM s""")
+    SELECT doc_id, CASE WHEN n > 0 THEN (CAST(206.835 AS DOUBLE) - CAST(1.015 AS DOUBLE) * (CAST(n AS DOUBLE) / p) - CAST(84.6 AS DOUBLE) * (y / n)) ELSE 0.0 END AS ease FROM s""")
 def reading_levels(spark, d):
-    return _texts(spark, d, "documents").select("doc_id", text.reading_ease(F.col("text")).alias("ease"))
+    return _texts(spark, d, "documents").select("doc_id", text.reading_ease(F.col("text"), None).alias("ease"))
 
 
 @query(f"""WITH w AS (SELECT doc_id, unnest({_WORDS}) AS w, generate_subscripts({_WORDS}, 1) AS pos FROM documents),
