@@ -82,3 +82,36 @@ def test_long_text_signatures_come_in_pieces():
     words = [f"u{i}" for i in range(700)]
     sizes = [len(x) for x in c.signatures(words)]
     assert sum(sizes) == 657 * 656 // 2 and max(sizes) <= 50_000
+
+
+def varied(rs, words, n, swapped, tag):
+    """``n`` variants of a text with ``swapped`` words replaced by words of their own."""
+    out = []
+    for i in range(n):
+        new = words[:]
+        for at in rs.sample(range(len(new)), swapped):
+            new[at] = f"{tag}{i}x{at}"
+        out.append((f"{tag}{i:03}", " ".join(new)))
+    return out
+
+
+def apart(base=400, seed=5):
+    rs = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    return [(f"k{i:03}", " ".join(rs.sample(vocabulary, 80))) for i in range(base)]
+
+
+def test_variants_of_one_text_in_a_third_of_all_rows(spark):
+    rows = apart(200)
+    rows += varied(random.Random(2), rows[0][1].split(), 100, 10, "v")
+    df = spark.createDataFrame(rows, "key string, text string")
+    want = brute(rows, 0.75, 60)
+    got = N.linked_pairs(df, "key", "text").collect()
+    assert len(want) > 100 and len(got) == len(want) and set(map(tuple, got)) == want
+
+
+def test_bitmap_comparison_keeps_every_link(monkeypatch, spark):
+    monkeypatch.setattr(N, "CELL", 40)
+    rows = corpus(7, 60)
+    df = spark.createDataFrame(rows, "key string, text string")
+    assert set(map(tuple, N.linked_pairs(df, "key", "text", least=15, posting=1e-9).collect())) == brute(rows, 0.75, 15)

@@ -8,10 +8,13 @@ A text's prefix is extended, from rare to frequent, until it holds enough words
 words can't spoil every combination: a class part of c words survives c - k differing ones. Candidate pairs are then
 verified on the exact word sets.
 
-Which links are found. Where the prefix reaches that bound before the last class (``WIDEST`` words a combination) is
-used up, every link of the text is found, whatever the differing words are. Where it doesn't, a link is lost only if
-the differing words hit every indexed combination; ``exhaustive=True`` goes on through all classes, which finds every
-link at a higher cost. A class's words are spread over slots by a hash, about
+Which links are found. All. Where the prefix reaches that bound before the last class (``WIDEST`` words a combination) is
+used up, the index finds every link of the text, whatever the differing words are. Texts whose prefix doesn't reach it
+(nearly all texts of frequent words, copies and variants of one text in many rows, words of one phrase) are compared with
+each other on bitmaps of their words, cell by cell, by a bound that no link fails. That takes a few nanoseconds a pair but
+grows with the square of the number of such texts; where they are most of the texts, all texts go there and nothing is
+indexed. ``exhaustive=True`` goes on through all classes, so that fewer texts are compared, at a higher cost of the index.
+A class's words are spread over slots by a hash, about
 ``group`` of a text's words in each, to bound the combinations; words combine within their slot.
 
 Texts with the same word set are one class: only one representative is indexed, and pairs of representatives are
@@ -40,6 +43,7 @@ POSTING = 0.2
 WIDEST = 6
 GROUP = 3.5  # mean number of a text's words of a class in one slot
 BLOCK = 200
+CELL = 1 << 16  # texts in one side of a cell of the bitmap comparison
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -126,9 +130,10 @@ class Classes:
                 self.rows[c, k] = got
         return got
 
-    def signatures(self, words: Iterable[str]) -> Iterator[np.ndarray]:
-        """Hashed combinations of the prefix of a word set."""
+    def prefix(self, words: Iterable[str]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]], bool]:
+        """Placed words in order, ranges of them that combine, and whether the prefix reaches the bound."""
         placed = sorted(map(self.place, words))
+        parts = []
         want = len(placed) - self.tau_from + 1  # differing words that can be, and one
         # (words left out take nothing from this: no more of the words used differ than of all)
         have, i, n = 0, 0, len(placed)
@@ -139,21 +144,29 @@ class Classes:
             j = i
             while j < n and placed[j][0] == k and placed[j][1] == slot and have + max(0, j - i - k + 1) < want:
                 j += 1
-            c = j - i
-            if c >= k:
-                have += c - k + 1
-                h = _mix(np.array([p[2] for p in placed[i:j]], np.uint64))
-                tag = np.uint64(k * 1_000_003 + slot)
-                if comb(c, k) <= 200_000:
-                    yield _mix(h[self.combos(c, k)].sum(1) ^ tag)
-                else:  # a very long text: the same in pieces
-                    for first in range(c - k + 1):
-                        rest = h[first + 1 :]
-                        for part in _pieces(len(rest), k - 1):
-                            yield _mix((h[first] + rest[part].sum(1)) ^ tag)
+            if j - i >= k:
+                have += j - i - k + 1
+                parts.append((i, j))
             while j < n and placed[j][0] == k and placed[j][1] == slot:
                 j += 1
             i = j
+        return placed, parts, have >= want
+
+    def signatures(self, words: Iterable[str]) -> Iterator[np.ndarray]:
+        """Hashed combinations of the prefix of a word set."""
+        placed, parts, _ = self.prefix(words)
+        for i, j in parts:
+            k, slot, _ = placed[i]
+            c = j - i
+            h = _mix(np.array([p[2] for p in placed[i:j]], np.uint64))
+            tag = np.uint64(k * 1_000_003 + slot)
+            if comb(c, k) <= 200_000:
+                yield _mix(h[self.combos(c, k)].sum(1) ^ tag)
+            else:  # a very long text: the same in pieces
+                for first in range(c - k + 1):
+                    rest = h[first + 1 :]
+                    for part in _pieces(len(rest), k - 1):
+                        yield _mix((h[first] + rest[part].sum(1)) ^ tag)
 
 
 def _pieces(n: int, k: int, size: int = 50_000) -> Iterator[np.ndarray]:
@@ -303,19 +316,29 @@ def _blockwise(heavy: DataFrame) -> DataFrame:
     return one.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
 
 
-BITS = 4  # words of 64 bits in a sketch
+BITS = 16  # words of 64 bits in a sketch
+FOLD = 4  # and in its first, coarser form
 
 
-def _sketches(rows: DataFrame, least: int) -> DataFrame:
-    """(doc, n, s0..s3): number of words, and a bitmap of hashed words that bounds overlaps from above."""
+def _sketches(rows: DataFrame, make, least: int) -> DataFrame:
+    """(doc, n, reached, s0..s15) of every word-set class: number of words, whether its prefix reaches the bound, and a
+    bitmap of hashed words that bounds overlaps from above."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = make()
         place: dict[str, int] = {}
+        seen: set[int] = set()
         for b in batches:
-            docs, sizes, maps = [], [], []
+            docs, sizes, reached, maps = [], [], [], []
             if len(place) > 1 << 20:
                 place.clear()
             for _, doc, words in _sets(b, least):
+                if doc in seen:
+                    continue
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                seen.add(doc)
+                reached.append(classes.prefix(words)[2])
                 bits = 0
                 for w in words:
                     at = place.get(w)
@@ -326,30 +349,90 @@ def _sketches(rows: DataFrame, least: int) -> DataFrame:
                 sizes.append(len(words))
                 maps.append(bits.to_bytes(8 * BITS, "little"))
             table = np.frombuffer(b"".join(maps), np.uint64).reshape(-1, BITS)
-            yield pa.RecordBatch.from_arrays([_signed(np.array(docs, np.uint64)), pa.array(sizes, pa.int32()), *(_signed(table[:, i]) for i in range(BITS))], ["doc", "n", *(f"s{i}" for i in range(BITS))])
+            yield pa.RecordBatch.from_arrays([_signed(np.array(docs, np.uint64)), pa.array(sizes, pa.int32()), pa.array(reached, pa.bool_()), *(_signed(table[:, i]) for i in range(BITS))], ["doc", "n", "reached", *(f"s{i}" for i in range(BITS))])
 
-    schema = "doc bigint, n int, " + ", ".join(f"s{i} bigint" for i in range(BITS))
+    schema = "doc bigint, n int, reached boolean, " + ", ".join(f"s{i} bigint" for i in range(BITS))
     return rows.mapInArrow(scan, schema).dropDuplicates(["doc"])
 
 
-def class_links(df: DataFrame, key: str, text: str, *, share: float = SHARE, least: int = LEAST, exhaustive: bool = False, posting: float = POSTING, group: float = GROUP) -> DataFrame:
-    """(a, b), a < b: linked word-set classes."""
-    rows = _long_enough(df, key, text, least)
-    counts = cut_lineage(_word_counts(rows, least))
-    texts = sum(r["n"] for r in counts.filter(F.col("word") == "").collect())
-    floor = max((posting / max(texts, 2)) ** 0.5, 1e-4) * texts
-    some = counts.filter((F.col("word") != "") & (F.col("n") > max(5, floor / 4))).collect()
-    follow = followers((r["word"], r["n"], tuple(r[f"m{q}"] for q in range(MINIMA))) for r in some)
-    frequent = {r["word"]: r["n"] for r in some if r["n"] > floor and r["word"] not in follow}
-    sent = df.sparkSession.sparkContext.broadcast((frequent, follow))
-    args = (texts, share, least, exhaustive, posting, group)
-    sigs = _signature_rows(rows, lambda: Classes(*sent.value, *args), least)
+def _near(x: np.ndarray, y: np.ndarray | None, nx: np.ndarray, ny: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the pairs of sketches (a row per 64 bits) that may be linked; without ``y``, pairs within ``x``.
+
+    A linked pair's smaller text lacks at most n - share * n of its words in the other, so at most as many of its bits."""
+    own = y is None
+    y, ny = (x, nx) if own else (y, ny)
+    fx, fy = (np.ascontiguousarray(np.bitwise_or.reduce(z.reshape(-1, FOLD, z.shape[1]), 0)) for z in (x, y))
+    for f in (fx, fy):
+        f[0] &= ~np.uint64(1)  # 255 bits, to be counted in a byte
+    spare_x, spare_y = (n - np.ceil(share * n - 1e-9).astype(np.int64) for n in (nx, ny))
+    # the least of the two bounds, so that it holds whichever text is the smaller one
+    low_x, low_y = (np.maximum(np.bitwise_count(f).sum(0, dtype=np.int64) - s, 0).astype(np.uint8) for f, s in ((fx, spare_x), (fy, spare_y)))
+    all_x, all_y = (np.bitwise_count(z).sum(0, dtype=np.int64) - s for z, s in ((x, spare_x), (y, spare_y)))
+    high, wide = 16, 4096
+    common, count, more, low = (np.empty((high, wide), t) for t in (np.uint64, np.uint8, np.uint8, np.uint8))
+    for i in range(0, x.shape[1], high):
+        a, lows = fx[:, i : i + high], low_x[i : i + high, None]
+        for j in range(i // wide * wide if own else 0, y.shape[1], wide):
+            b = fy[:, j : j + wide]
+            at = slice(a.shape[1]), slice(b.shape[1])
+            np.bitwise_count(np.bitwise_and(a[0][:, None], b[0], out=common[at]), out=count[at])
+            for q in range(1, FOLD):
+                np.bitwise_count(np.bitwise_and(a[q][:, None], b[q], out=common[at]), out=more[at])
+                np.add(count[at], more[at], out=count[at])
+            p, q = np.divmod(np.flatnonzero(count[at] >= np.minimum(lows, low_y[j : j + wide], out=low[at])), b.shape[1])
+            p, q = p + i, q + j
+            if own:
+                p, q = p[p < q], q[p < q]
+            if len(p):
+                shared = np.bitwise_count(x[:, p] & y[:, q]).sum(0, dtype=np.int64)
+                small = nx[p] <= ny[q]
+                keep = np.where(small, shared >= all_x[p], shared >= all_y[q]) | ((nx[p] == ny[q]) & (shared >= all_y[q]))
+                if keep.any():
+                    yield p[keep], q[keep]
+
+
+def _compared(sketch: DataFrame, texts: int, share: float) -> DataFrame:
+    """(a, b), a < b: pairs of all of ``sketch`` that its bitmaps don't rule out. Texts go to sides of at most about CELL
+    texts, and each pair of sides is one task."""
+    cores = sketch.sparkSession.sparkContext.defaultParallelism
+    m = max(1, ceil(texts / CELL))
+    while m * (m + 1) < 4 * cores and texts > 1000 * m:
+        m += 1
+    names = [f"s{i}" for i in range(BITS)]
+    sides = sketch.select("doc", "n", *names).withColumn("at", F.pmod(F.xxhash64("doc"), F.lit(m)).cast("int"))
+    dealt = sides.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    low, top = F.least("at", "other"), F.greatest("at", "other")
+    cells = dealt.select((top * (top + 1) / 2).cast("int").alias("__low"), low.alias("__x"), (F.col("at") == low).alias("left"), (low == top).alias("own"), "doc", "n", *names)
+    cells = cells.select((F.col("__low") + F.col("__x")).cast("int").alias("cell"), "left", "own", "doc", "n", *names).repartitionById(m * (m + 1) // 2, "cell")
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        t = pa.Table.from_batches(held)
+        left, own = t.column("left").to_numpy(), t.column("own").to_numpy()
+        doc, n = t.column("doc").to_numpy(), t.column("n").to_numpy().astype(np.int64)
+        s = np.stack([t.column(c).to_numpy() for c in names]).view(np.uint64)
+        if own[0]:
+            of, to, found = doc, doc, _near(s, None, n, n, share)
+        else:
+            of, to, found = doc[left], doc[~left], _near(np.ascontiguousarray(s[:, left]), np.ascontiguousarray(s[:, ~left]), n[left], n[~left], share)
+        for p, q in found:
+            u, v = of[p], to[q]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+
+    return cells.mapInArrow(compare, "a bigint, b bigint")
+
+
+def _indexed(rows: DataFrame, make, least: int, sketch: DataFrame, share: float) -> DataFrame:
+    """(a, b), a < b: pairs that share a signature and that the bitmaps don't rule out; every link of a text that reaches
+    the bound is among them, as of two texts the one whose prefix ends first has all its combinations met by the other."""
+    sigs = _signature_rows(rows, make, least)
     runs = sigs.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_pairs_of_runs, "a bigint, b bigint, sig bigint, size bigint")
     runs = cut_lineage(runs)
     light = runs.filter(F.col("b").isNotNull()).select("a", "b")
     candidates = light.unionByName(_blockwise(runs.filter(F.col("b").isNull()))).distinct()
 
-    sketch = _sketches(rows, least)
     a = sketch.select(F.col("doc").alias("a"), F.col("n").alias("na"), *[F.col(f"s{i}").alias(f"a{i}") for i in range(BITS)])
     b = sketch.select(F.col("doc").alias("b"), F.col("n").alias("nb"), *[F.col(f"s{i}").alias(f"b{i}") for i in range(BITS)])
     both = candidates.join(a, "a").join(b, "b")
@@ -361,7 +444,30 @@ def class_links(df: DataFrame, key: str, text: str, *, share: float = SHARE, lea
         return total
 
     most = F.least(F.col("na") - only("a", "b"), F.col("nb") - only("b", "a"))
-    likely = cut_lineage(both.filter(most >= share * F.least("na", "nb") - 1e-9).select("a", "b"))
+    return both.filter(most >= share * F.least("na", "nb") - 1e-9).select("a", "b")
+
+
+def class_links(df: DataFrame, key: str, text: str, *, share: float = SHARE, least: int = LEAST, exhaustive: bool = False, posting: float = POSTING, group: float = GROUP) -> DataFrame:
+    """(a, b), a < b: linked word-set classes."""
+    rows = _long_enough(df, key, text, least)
+    counts = cut_lineage(_word_counts(rows, least))
+    texts = sum(r["n"] for r in counts.filter(F.col("word") == "").collect())
+    floor = max((posting / max(texts, 2)) ** 0.5, 1e-4) * texts
+    some = counts.filter((F.col("word") != "") & (F.col("n") > max(5, floor / 4))).collect()
+    follow = followers((r["word"], r["n"], tuple(r[f"m{q}"] for q in range(MINIMA))) for r in some)
+    frequent = {r["word"]: r["n"] for r in some if r["n"] > floor and r["word"] not in follow}
+    sent = df.sparkSession.sparkContext.broadcast((frequent, follow))
+    args = (texts, share, least, exhaustive, posting, group)
+    make = lambda: Classes(*sent.value, *args)
+    sketch = cut_lineage(_sketches(rows, make, least))
+    total, short = sketch.agg(F.count(F.lit(1)), F.count_if(~F.col("reached"))).first()
+    if 2 * short > total:
+        likely = cut_lineage(_compared(sketch, total, share))
+    else:
+        likely = _indexed(rows, make, least, sketch, share)
+        if short:
+            likely = likely.unionByName(_compared(sketch.filter(~F.col("reached")), short, share)).distinct()
+        likely = cut_lineage(likely)
 
     wanted = likely.select(F.col("a").alias("doc")).unionByName(likely.select(F.col("b").alias("doc"))).distinct()
 
