@@ -101,6 +101,14 @@ def apart(base=400, seed=5):
     return [(f"k{i:03}", " ".join(rs.sample(vocabulary, 80))) for i in range(base)]
 
 
+def test_near_copies_in_own_words(spark):
+    rows = apart() + varied(random.Random(1), [f"own{i}" for i in range(100)], 30, 2, "v")
+    df = spark.createDataFrame(rows, "key string, text string")
+    want = brute(rows, 0.75, 60)
+    assert len(want) >= 435 and set(map(tuple, N.linked_pairs(df, "key", "text").collect())) == want
+    assert set(map(tuple, N.linked_pairs(df, "key", "text", exhaustive=True).collect())) == want
+
+
 def test_variants_of_one_text_in_a_third_of_all_rows(spark):
     rows = apart(200)
     rows += varied(random.Random(2), rows[0][1].split(), 100, 10, "v")
