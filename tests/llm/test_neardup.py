@@ -118,6 +118,18 @@ def test_variants_of_one_text_in_a_third_of_all_rows(spark):
     assert len(want) > 100 and len(got) == len(want) and set(map(tuple, got)) == want
 
 
+def test_class_limits_of_a_larger_input_lose_nothing(spark):
+    """Links whose differing words are the rarest; class limits as of an input of 10 million times the rows."""
+    rs = random.Random(4)
+    rows = [(f"k{i:03}", " ".join(f"w{int(400 * rs.random() ** 2)}" for _ in range(110))) for i in range(150)]
+    for i in range(30):
+        words = sorted(set(rows[i][1].split()), key=lambda w: int(w[1:]))
+        rows.append((f"z{i:03}", " ".join(words[: -(len(words) // 5)] + [f"n{i}x{j}" for j in range(len(words) // 5)])))
+    df = spark.createDataFrame(rows, "key string, text string")
+    want = brute(rows, 0.75, 60)
+    assert len(want) >= 30 and set(map(tuple, N.linked_pairs(df, "key", "text", posting=0.2 / 1e7).collect())) == want
+
+
 def test_bitmap_comparison_keeps_every_link(monkeypatch, spark):
     monkeypatch.setattr(N, "CELL", 40)
     rows = corpus(7, 60)
