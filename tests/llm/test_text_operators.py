@@ -162,3 +162,16 @@ def test_toxicity_tables(spark):
     scored = toxicity.score(df, ["review_id", "source"], "text", toxicity.train(p, u)).collect()
     assert len(scored) == len(rows) and all(0 <= r["score"] <= 1 for r in scored)
     assert toxicity.sample(df.limit(0), "review_id", "text", labels, "review_id", "toxic") == ([], [])
+
+
+def test_long_passages_over_and_over_are_cycles():
+    rs = random.Random(3)
+    stock = [f"w{i}" for i in range(300)]
+    for size in (60, 201, 401, 650, 900, 3000):
+        passage = [stock[int(300 * rs.random() ** 2)] for _ in range(size)]
+        assert prose._cycle(passage * 8) > 0.95 and prose._cycle(["title", "of", "it", *passage * 3, "end"]) > 0.95
+        noisy = [w if rs.random() > 0.01 else "odd" for w in passage * 6]
+        assert prose._cycle(noisy) > 0.95
+        assert prose._cycle([stock[int(300 * rs.random() ** 2)] for _ in range(8 * size)]) < 0.5
+    # a word pair that comes back often within the passage
+    assert prose._cycle((["a", "b", "c"] + ["a", "b", "d", "e"] * 9 + stock[:160]) * 8) > 0.95
