@@ -175,3 +175,12 @@ def test_long_passages_over_and_over_are_cycles():
         assert prose._cycle([stock[int(300 * rs.random() ** 2)] for _ in range(8 * size)]) < 0.5
     # a word pair that comes back often within the passage
     assert prose._cycle((["a", "b", "c"] + ["a", "b", "d", "e"] * 9 + stock[:160]) * 8) > 0.95
+
+
+def test_cities_two_edits_away_and_nearer_wrong_tokens(spark):
+    ref = spark.createDataFrame([(1, "Marwick", "HN"), (2, "Tolbergen Ridge", "HN"), (3, "Tolbarden Quay", "HN")], "id int, city string, state string")
+    # two edits of seven letters; a first token one edit from entry 3 and two from entry 2, whose other token it has
+    cases = [("Mxrwyck", 1), ("Tolbargen Ridge", 2), ("Ridge Tolbarden", 2), ("Mxrwxyk", -1)]
+    rows = spark.createDataFrame([(f"b{i}", c, "HN") for i, (c, _) in enumerate(cases)], "business_id string, city string, state string")
+    got = dict(map(tuple, canonical.map_rows(rows, "business_id", "city", "state", ref, "id", "city", "state").collect()))
+    assert got == {f"b{i}": e for i, (_, e) in enumerate(cases)}

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 UNMATCHED = -1
 ACCEPT = 0.86
+LEAST_SIM = 0.8625  # of tokens within reach, so that a value of one token is accepted wherever the reach allows
 MAX_REFERENCE = 20_000
 
 # Words around a place name that do not change which place is meant, and short forms.
@@ -144,7 +145,9 @@ def map_to_reference(values: DataFrame, value: str, state: str, ref: DataFrame,
     rare = F.log(F.lit(1.0 + size)) + 0.2
     hits = value_tokens.join(repaired, "tok").join(_sized(entry_tokens.select("entry", F.col("tok").alias("ref_tok")), size), "ref_tok")
     best = hits.groupBy("value", "entry", "ref_tok", "w").agg(F.max("sim").alias("sim"), F.max_by("tok", "sim").alias("by"))
-    got = best.groupBy("value", "entry").agg(F.sum(F.col("w") * F.col("sim")).alias("gain"), F.collect_set("by").alias("used"))
+    # a token stands for one token of an entry
+    once = best.groupBy("value", "entry", "by").agg(F.max(F.col("w") * F.col("sim")).alias("part"))
+    got = once.groupBy("value", "entry").agg(F.sum("part").alias("gain"), F.collect_set("by").alias("used"))
     unused = F.size(F.array_except("toks", "used"))
     scored = (
         got.join(cut.select("value", "toks"), "value")
@@ -167,16 +170,14 @@ def map_to_reference(values: DataFrame, value: str, state: str, ref: DataFrame,
 
 
 def _repair(tokens: DataFrame, near_ref: DataFrame, size: int) -> DataFrame:
-    """(tok, ref_tok, sim) of all pairs within the allowed edits; per token only the nearest are kept."""
+    """(tok, ref_tok, sim) of all pairs within the allowed edits; the entries decide among them."""
     pairs = tokens.withColumn("v", F.explode(_variants("tok"))).join(_sized(near_ref, size), "v").select("tok", "ref_tok").distinct()
     measured = pairs.withColumn("edits", _edits("tok", "ref_tok"))
     allowed = F.least(_reach(F.col("tok")), _reach(F.col("ref_tok")))
     # a token that lost or gained letters is measured by the longer of the two
     longest = F.greatest(F.length("tok"), F.length("ref_tok"))
-    sim = F.lit(1.0) - F.col("edits") / longest * 0.55
-    best = Window.partitionBy("tok")
-    kept = measured.filter(F.col("edits") <= F.greatest(allowed, F.lit(0))).withColumn("least", F.min("edits").over(best))
-    return kept.filter(F.col("edits") == F.col("least")).select("tok", "ref_tok", sim.alias("sim"))
+    sim = F.greatest(F.lit(1.0) - F.col("edits") / longest * 0.55, F.lit(LEAST_SIM))
+    return measured.filter(F.col("edits") <= F.greatest(allowed, F.lit(0))).select("tok", "ref_tok", sim.alias("sim"))
 
 
 def _reach(token: Column) -> Column:
