@@ -99,3 +99,11 @@ def test_sentiment(spark):
     assert [(r["l"], r["w"]) for r in labels] == [("neutral", "Positive"), ("positive", "Positive"), ("neutral", "Negative"), ("negative", "Negative")]
     with pytest.raises(ValueError):
         sentiment.label(F.col("p"), 0.1, 0.2)
+
+
+def test_warehouse_labels_read_the_text(spark, data):
+    from tidemark.plans import relational
+
+    rows = relational.QUERIES["warehouse_lexicon_labels"](spark, data).collect()
+    assert {r["label"] for r in rows} == {"Positive", "Negative", "Neutral"}
+    assert sum(r["n"] for r in rows) == sum(r["n"] for r in relational.QUERIES["warehouse_labels"](spark, data).collect())

@@ -498,6 +498,13 @@ def warehouse_labels(spark, d):
     return load(spark, d, "yelp_review").select("source", sentiment.warehouse_label(p).alias("label")).groupBy("source", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"WITH {_POLARITY} SELECT source, CASE WHEN polarity > 0 THEN 'Positive' WHEN polarity < 0 THEN 'Negative' ELSE 'Neutral' END AS label, count(*) AS n FROM p GROUP BY 1, 2")
+def warehouse_lexicon_labels(spark, d):
+    """The warehouse labels of the texts themselves, by the lexicon."""
+    p = sentiment.sentiment(F.col("text"), "lexicon")["polarity"]
+    return load(spark, d, "yelp_review").select("source", sentiment.warehouse_label(p).alias("label")).groupBy("source", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- derived views, generator --------------------------------------------------------------------------------
 
 
