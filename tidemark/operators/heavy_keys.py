@@ -15,9 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranges import range_number
+
 
 def cut(df: DataFrame, key: str, order: list[str], partitions: int | None = None) -> DataFrame:
-    """``df`` range-partitioned on (key, order...), with ``part``, the partition's number."""
+    """``df`` range-partitioned on (key, order...), with ``part``, the partition's number. For results that come from one
+    branch of a plan; another branch may draw other bounds. The number of partitions is that of the shuffle, which the
+    cluster sets with the size of the data."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, F.col(f"`{key}`"), *[F.col(f"`{o}`") for o in order])
     return ranged.withColumn("part", F.spark_partition_id())
@@ -58,20 +62,26 @@ def running(df: DataFrame, key: str, order: list[str], value: str, partitions: i
     """``df`` with each row's rank within its key (``rank_in_key``) and the mean of ``value`` so far
     (``running_mean``, nulls left out).
 
-    The window runs inside (partition, key), whose size the quantiles bound; what earlier partitions hold of
-    the same key is added from their states.
+    The window runs inside (range, key), whose size the quantiles bound; what earlier ranges hold of the same key is added
+    from their states. The range is a function of the row, the same for the rows and for the states, whatever other columns
+    ``df`` has; of those named like the results, the results stay.
     """
-    ranged = cut(df, key, order, partitions)
-    states = partial_states(ranged, key, [F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"), F.count(value).alias("c")])
-    before = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    by = [key, *order]
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    rows = df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    k, v, o = names[key], names[value], [names[x] for x in order]
+    ranged = rows.withColumn("part", range_number(rows, [names[x] for x in by], partitions))
+    states = partial_states(ranged, k, [F.count(F.lit(1)).alias("n"), F.sum(v).alias("s"), F.count(v).alias("c")])
+    before = Window.partitionBy(k).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = states.select(
-        F.col("part").alias("o_part"), F.col(f"`{key}`").alias("o_key"),
+        F.col("part").alias("o_part"), F.col(k).alias("o_key"),
         *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"o_{x}") for x in ("n", "s", "c")],
     )
-    inside = Window.partitionBy("part", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("part", k).orderBy(*o).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumns({
-        "l_n": F.count(F.lit(1)).over(inside), "l_s": F.coalesce(F.sum(value).over(inside), F.lit(0.0)), "l_c": F.count(value).over(inside),
+        "l_n": F.count(F.lit(1)).over(inside), "l_s": F.coalesce(F.sum(v).over(inside), F.lit(0.0)), "l_c": F.count(v).over(inside),
     })
-    joined = local.join(offsets, (F.col("part") == F.col("o_part")) & F.col(key).eqNullSafe(F.col("o_key")), "left")
+    joined = local.join(offsets, (F.col("part") == F.col("o_part")) & F.col(k).eqNullSafe(F.col("o_key")), "left")
     n, s, c = (F.col(f"l_{x}") + F.coalesce(F.col(f"o_{x}"), F.lit(0)) for x in ("n", "s", "c"))
-    return joined.select(*df.columns, n.alias("rank_in_key"), F.when(c > 0, s / c).alias("running_mean"))
+    kept = [F.col(n).alias(c) for c, n in names.items() if c not in ("rank_in_key", "running_mean")]
+    return joined.select(*kept, n.alias("rank_in_key"), F.when(c > 0, s / c).alias("running_mean"))

@@ -7,18 +7,28 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranges import range_number
+
 OTHER = "__other__"
 
 
+def number_within(df: DataFrame, part: str, order: list[str], start: int = 0) -> DataFrame:
+    """``df`` with ``rn`` from ``start``, in the order of ``part`` and, within it, of ``order``. ``part`` must be a function of
+    the row. Parts are counted by their own map-side aggregate, of which only the counts are moved and put in order."""
+    counts = df.groupBy(F.col(f"`{part}`").alias("__q")).agg(F.count(F.lit(1)).alias("__c"))
+    before = F.coalesce(F.sum("__c").over(Window.orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("__q", before.alias("__before"))
+    inside = F.row_number().over(Window.partitionBy(F.col(f"`{part}`")).orderBy(*[F.col(f"`{o}`") for o in order])) - 1
+    joined = df.withColumn("__n", inside).join(offsets, F.col(f"`{part}`").eqNullSafe(F.col("__q")))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__n") + F.col("__before") + start).cast("long").alias("rn"))
+
+
 def with_row_number(df: DataFrame, order: list[str]) -> DataFrame:
-    """``rn`` from 0 in the total order, without one task that sees all rows: range partitions are sorted, and the counts
-    of the partitions before, of which there are few, are added."""
-    ranged = df.repartitionByRange(*[F.col(f"`{o}`") for o in order]).withColumn("__p", F.spark_partition_id())
-    counts = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("c"))
-    before = F.coalesce(F.sum("c").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select(F.col("__p").alias("__q"), before.alias("__before"))
-    inside = F.row_number().over(Window.partitionBy("__p").orderBy(*[F.col(f"`{o}`") for o in order])) - 1
-    return ranged.withColumn("__n", inside).join(offsets, F.col("__p") == F.col("__q")).select(*df.columns, (F.col("__n") + F.col("__before")).alias("rn"))
+    """``rn`` from 0 in the total order, without one task that sees all rows: each range of the order is numbered by itself,
+    and the counts of the ranges before, of which there are few, are added. The range is a function of the row
+    (``range_number``), so every row is counted and numbered in the same one. Rows that tie on ``order`` get neighbouring
+    numbers in no set order."""
+    return number_within(df.withColumn("__p", range_number(df, order)), "__p", order).drop("__p")
 
 
 def split_chunks(df: DataFrame, order: list[str], chunks: int) -> DataFrame:

@@ -41,11 +41,13 @@ def read_existing(spark: SparkSession, paths: list[str], **how) -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line, value) with line numbers from 1, over files in the order of their names."""
-    raw = spark.read.text(_paths(path)).select("value", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"))
-    from tidemark.operators.partitioning import with_row_number
+    """(line, value) with line numbers from 1, over files in the order of their names. A line's block of its file (at most
+    ``spark.sql.files.maxPartitionBytes``) is what is numbered by itself; lines of the blocks before are counted and added."""
+    from tidemark.operators.partitioning import number_within
 
-    return with_row_number(raw, ["f", "i"]).select((F.col("rn") + 1).alias("line"), "value")
+    place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"))
+    raw = spark.read.text(_paths(path)).select("value", place.alias("block"), F.monotonically_increasing_id().alias("i"))
+    return number_within(raw, "block", ["i"], 1).select(F.col("rn").alias("line"), "value")
 
 
 def count_lines(spark: SparkSession, path: str) -> int:
