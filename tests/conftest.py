@@ -27,14 +27,15 @@ def data():
 def matches():
     """Asserts that a query's rows are those of its SQL."""
     import glob
+    import numbers
 
     import duckdb
     import pandas as pd
 
     def cell(v):
-        if v is None or v is pd.NaT or isinstance(v, float) and v != v:
+        if v is None or v is pd.NaT or v is pd.NA or isinstance(v, float) and v != v:
             return "NULL"
-        if isinstance(v, (int, float)) and not isinstance(v, bool):
+        if isinstance(v, numbers.Number) and not isinstance(v, bool):
             return repr(round(float(v), 6))
         if hasattr(v, "__len__") and not isinstance(v, str):
             return str(list(v))

@@ -107,3 +107,38 @@ def test_warehouse_labels_read_the_text(spark, data):
     rows = relational.QUERIES["warehouse_lexicon_labels"](spark, data).collect()
     assert {r["label"] for r in rows} == {"Positive", "Negative", "Neutral"}
     assert sum(r["n"] for r in rows) == sum(r["n"] for r in relational.QUERIES["warehouse_labels"](spark, data).collect())
+
+
+@pytest.mark.parametrize(
+    "value,emails",
+    [("Mail a@b.com. or x%y@c.org", ["a@b.com", "x%y@c.org"]), ("z@1.2", []), ("first.last+tag@sub.example.co.uk!", ["first.last+tag@sub.example.co.uk"]), (None, []), ("", [])],
+)
+def test_emails(spark, value, emails):
+    assert one(spark, text.extract_emails(F.col("c")), value) == emails
+
+
+def test_phones_and_stop_words(spark):
+    assert one(spark, text.extract_phones(F.col("c")), "call +1 (512) 555-0140 or ٠١٢٣٤٥٦٧ or 12345") == ["+1 (512) 555-0140", "٠١٢٣٤٥٦٧"]
+    assert len(text.STOPWORDS) == len(set(text.STOPWORDS))
+    assert {"shall", "can"} <= set(text.STOPWORDS) and not {"by", "from"} & set(text.STOPWORDS)
+
+
+def test_truncated_counts_cut_texts(spark):
+    df = spark.createDataFrame([("abcd",), ("abcde",), ("",), (None,)], "t string").withColumn("u", text.clean_text(F.col("t")))
+    assert text.cleaner_stats(df, "t", "u", 4).first().asDict() == {"total_cleaned": 2, "empty_inputs": 2, "chars_removed": 1, "truncated": 1}
+
+
+def test_lengths_of_lists_and_allowed_values(spark):
+    specs = [validate.FieldSpec("l", "list", min_length=4), validate.FieldSpec("n", "any", required=False, allowed=[1, "x"])]
+    cases = [('{"l": [1, 2, 3]}', ["l: shorter than 4"]), ('{"l": ["a", null, {}, 4], "n": 1.0}', []), ('{"l": "long enough"}', ["l: expected list"]), ('{"l": [1,2,3,4], "n": "1"}', ["n: value not allowed"])]
+    df = spark.createDataFrame([(c,) for c, _ in cases], "j string").select(validate.schema_errors(F.parse_json("j"), specs).alias("e"))
+    assert [r["e"] for r in df.collect()] == [e for _, e in cases]
+
+
+def test_paths(tmp_path):
+    with pytest.raises(ValueError):
+        validate.input_path(str(tmp_path))
+    with pytest.raises(ValueError):
+        validate.output_prefix("")
+    (tmp_path / "f").write_text("x")
+    assert validate.input_path(str(tmp_path / "f")).endswith("/f") and validate.output_prefix("p") == "p"

@@ -1,6 +1,11 @@
 from collections import defaultdict
 
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from tidemark.operators.heavy_keys import cut, heavy_keys, key_summary, running
+from tidemark.operators.partitioning import with_row_number
 
 
 def table(spark):
@@ -40,3 +45,24 @@ def test_running(spark):
     for r in running(df, "k", ["n_row"], "v", 5).collect():
         n, mean = want[r["n_row"]]
         assert r["rank_in_key"] == n and (mean is None and r["running_mean"] is None or abs(r["running_mean"] - mean) < 1e-9)
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_ranks_and_numbers_of_wide_rows(spark, aqe):
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    n = F.col("id")
+    df = spark.range(0, 400_000, 1, 8).select((n * 7919 % 400_000).alias("at"), F.when(n % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), n % 50)).alias("k"), F.lit(2.0).alias("v"), F.concat(F.lit("text "), n).alias("part"), F.lit("x").alias("rank_in_key"))
+    got = running(df, "k", ["at"], "v", 12)
+    want = F.row_number().over(Window.partitionBy("k").orderBy("at"))
+    assert got.columns.count("rank_in_key") == 1 and got.withColumn("w", want).filter("w = rank_in_key and running_mean = 2 and part is not null").count() == 400_000
+    assert with_row_number(df, ["at"]).filter("rn = at").count() == 400_000
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_numbers_with_nulls_ties_and_structs(spark):
+    rows = [(None if i % 5 == 0 else i // 3, f"r{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "a long, b string").withColumn("s", F.struct("a", "b"))
+    got = [r["b"] for r in with_row_number(df, ["s"]).orderBy("rn").collect()]
+    assert got == [b for _, b in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))]
+    assert sorted(r["rn"] for r in with_row_number(df, ["a"]).collect()) == list(range(300))
+    assert with_row_number(df.limit(0), ["a"]).collect() == []

@@ -8,7 +8,7 @@ from tidemark.cli import main as cli
 from tidemark.plans import warehouse
 from tidemark.sinks import writers
 from tidemark.sources import jsonl
-from tidemark.support import ExpiringCache, retry
+from tidemark.support import ExpiringCache, LruCache, MaxRetriesExceeded, Profile, RetryConfig, RunMetrics, memory, retry
 
 LINES = ['{"id": 1, "text": "a", "stars": 4.5}', "", "  ", "not json", "null", '{"id": 2, "text": null, "meta": {"x": [1]}}', "[1]"]
 
@@ -59,11 +59,17 @@ def test_cli(spark, tmp_path, capsys):
     src = tmp_path / "r.jsonl"
     src.write_text("".join(json.dumps({"review_id": f"r{i}", "business_id": f"b{i % 2}", "stars": 1.0 + i % 5, "useful": i, "text": "<b>Great!!!!</b> https://x.y" if i else None, "date": "2020-01-01"}) + "\n" for i in range(12)))
     got = cli.run_pipeline(spark, str(src), str(tmp_path / "out"), min_stars=2.0, max_records=5)
-    assert got["records_written"] == 5
-    assert {r["text"] for r in spark.read.json(str(tmp_path / "out")).collect()} == {"great!!"}
+    assert got["records_written"] == 5 and got["records_read"] == 9 and got["cleaner_stats"]["empty_inputs"] == 0
+    assert [r["review_id"] for r in spark.read.json(got["output"]).orderBy("review_id").collect()] == ["r1", "r2", "r3", "r4", "r6"]
+    assert {r["text"] for r in spark.read.json(got["output"]).collect()} == {"great!!"}
+    for fmt in ("json", "csv"):
+        assert cli.run_pipeline(spark, str(src), str(tmp_path / fmt), fmt)["records_written"] == 12
+    assert cli.analyze(spark, str(src), str(tmp_path / "a.json"), "business_id", fmt="json", backend="neutral") == {"total": 12, "positive": 0, "negative": 0, "neutral": 12}
+    assert json.loads((tmp_path / "a.json").read_text())[0]["sentiment_label"] == "neutral"
     report = cli.build_report(jsonl.read_jsonl(spark, str(src), schemas.REVIEW))
-    assert report["summary"]["total_reviews"] == 12 and sum(report["distribution"].values()) == 12
-    assert "| b0 | 6 |" in cli.markdown(report)
+    assert report["summary"]["total_records"] == 12 and report["summary"]["sentiment_counts"] == {"unknown": 12} and sum(report["star_distribution"].values()) == 12
+    assert report["top_businesses"][0] == {"business_id": "b0", "review_count": 6, "average_stars": 2.833, "useful_sum": 30, "positive_count": 2, "negative_count": 3}
+    assert "| Total records | 12 |" in cli.markdown(report) and "- **b0**: 6 reviews, avg 2.83 stars" in cli.markdown(report)
     assert cli.main(["validate", str(src), "--required", "review_id"]) == 0
     assert cli.main(["validate", str(src), "--required", "nope"]) == 1
     assert cli.main(["split", str(src), str(tmp_path / "s"), "--chunks", "5"]) == 0
@@ -76,7 +82,7 @@ def test_cli(spark, tmp_path, capsys):
 def test_support():
     tried = []
 
-    @retry(attempts=3, base=0)
+    @retry(delay=0)
     def flaky():
         tried.append(1)
         if len(tried) < 3:
@@ -84,7 +90,50 @@ def test_support():
         return "ok"
 
     assert flaky() == "ok" and len(tried) == 3
+    with pytest.raises(MaxRetriesExceeded):
+        RetryConfig((ZeroDivisionError,), 2, 0).as_decorator()(lambda: 1 / 0)()
+    with pytest.raises(ValueError):
+        RetryConfig(max_attempts=0)
+    f = LruCache(lambda x: x * 2, 1)
+    assert [f(1), f(1), f(2), f(1)] == [2, 2, 4, 2] and f.stats == {"hits": 1, "misses": 3, "evictions": 2, "hit_rate": 0.25}
+    p = Profile(f)
+    p(3)
+    assert p.stats["calls"] == 1 and memory()["peak_mb"] > 0
+    assert RunMetrics("x", 10, 5, 2.0).to_dict()["drop_rate"] == 0.5 and RunMetrics("x", 1, 5).to_dict()["drop_rate"] == 0
     c = ExpiringCache(size=1)
     c.put("a", 1)
     c.put("b", 2)
     assert c.get("a") is None and c.get("b") == 2
+
+
+def test_every_line_is_kept_and_numbered(spark, tmp_path):
+    df = spark.range(0, 400_000, 1, 8).select(F.format_string("%07d some text", F.col("id")).alias("value"))
+    df.write.text(str(tmp_path / "lines"))
+    for aqe in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        got = jsonl.numbered_lines(spark, str(tmp_path / "lines"))
+        assert got.filter(F.col("value").substr(1, 7).cast("long") == F.col("line") - 1).count() == 400_000
+        writers.to_chunks(got, str(tmp_path / f"chunks{aqe}"), ["line"], 3)
+        assert spark.read.text(str(tmp_path / f"chunks{aqe}")).groupBy("chunk").count().orderBy("chunk").collect() == [(0, 133_333), (1, 133_333), (2, 133_334)]
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_dedup_by_content(spark, tmp_path):
+    p = tmp_path / "d.jsonl"
+    p.write_text('{"a":1,"b":2}\n{"b": 2, "a": 1}\n{"a":1.0,"b":2}\n{"a":"1","b":2}\n{"a":true,"b":2}\nnot json\n')
+    assert cli.main(["dedup", str(p), str(tmp_path / "o")]) == 0
+    assert spark.read.text(str(tmp_path / "o")).count() == 4
+
+
+def test_checkpoints_of_a_cluster_need_a_shared_folder(spark):
+    from types import SimpleNamespace as N
+
+    from tidemark.session import ensure_checkpoint_dir, session_params
+
+    unset = N(isDefined=lambda: False)
+    fake = N(sparkContext=N(master="local-cluster[3,2,3000]", _jsc=N(sc=lambda: N(getCheckpointDir=lambda: unset))), conf=N(get=lambda k, d: None))
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(fake)
+    assert session_params("X_", ("url",), {"X_URL": "u", "Y": "1"}) == {"url": "u"}
+    with pytest.raises(OSError):
+        session_params("X_", ("url", "user"), {"X_URL": "u"})

@@ -1,8 +1,8 @@
 import pytest
 
-from tidemark.plans import problems, relational, streams
+from tidemark.plans import files, problems, relational, streams
 
-CASES = [(n, m.QUERIES[n], m.SQL[n]) for m in (relational, problems, streams) for n in m.SQL]
+CASES = [(n, m.QUERIES[n], m.SQL[n]) for m in (relational, problems, streams, files) for n in m.SQL]
 
 
 @pytest.mark.parametrize("name,query,sql", CASES, ids=[c[0] for c in CASES])

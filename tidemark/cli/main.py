@@ -7,34 +7,45 @@ import json
 import sys
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.functions.sentiment import enrich, label_counts
-from tidemark.functions.text import clean_text, cleaner_stats
+from tidemark.functions.sentiment import NEGATIVE, POSITIVE, enrich
+from tidemark.functions.text import clean_text, cleaner_counters
 from tidemark.functions.validate import jsonl_syntax_errors, missing_fields
 from tidemark.operators import aggregate, dedup, partitioning, transform
 from tidemark.session import build_session
 from tidemark.sinks import writers
-from tidemark.sources.jsonl import numbered_lines, read_jsonl, synthetic
+from tidemark.sources.jsonl import numbered_lines, read_jsonl, size_mb, synthetic
+from tidemark.support import RunMetrics
 
-SECTIONS = ("summary", "distribution", "sentiment", "top")
+# Names of the report's sections.
+SECTIONS = ("summary", "star_distribution", "top_businesses")
 
 
 def run_pipeline(spark: SparkSession, source: str, target: str, fmt: str = "jsonl", min_stars: float | None = None, sample_rate: float = 1.0, seed: int | None = None, max_records: int | None = None, backend: str = "auto") -> dict:
-    """Scan, filter, sample, clean, add sentiment, write; returns the counts of the run."""
-    rows = read_jsonl(spark, source, schemas.REVIEW)
+    """Scan, filter, sample, clean, add sentiment, write. Counts come from the job that writes, by observation, so they
+    are of the rows written (with ``max_records``, those read are counted before). ``max_records`` keeps the first records in the order of the input."""
+    start = time.perf_counter()
+    out_path = f"{target}/pipeline_output.{fmt.lower().lstrip('.')}"
+    read, cleaned = Observation(), Observation()
+    rows = read_jsonl(spark, source, schemas.REVIEW, place=True)
     if min_stars is not None:
         rows = transform.min_stars(rows, min_stars)
     rows = transform.process(rows, sample_rate=sample_rate, seed=seed)
-    if max_records is not None:
-        rows = rows.limit(max_records)
-    both = rows.withColumn("__raw", F.col("text")).withColumn("text", clean_text(F.col("text")))
-    out = enrich(both, backend=backend)
-    stats = cleaner_stats(both, "__raw", "text").first().asDict()
-    written = writers.export(out.drop("__raw"), target, fmt)
-    return {"records_written": written if written is not None else out.count(), "cleaner_stats": stats, "output": target}
+    if max_records is None:
+        rows = rows.observe(read, F.count(F.lit(1)).alias("n"))
+    else:
+        total = rows.count()  # rows before the limit may be scanned twice, which an observation would count twice
+        rows = rows.orderBy("__place").limit(max_records)
+    both = rows.drop("__place").withColumn("__raw", F.col("text")).withColumn("text", clean_text(F.col("text")))
+    out = enrich(both.observe(cleaned, F.count(F.lit(1)).alias("n"), *cleaner_counters(F.col("__raw"), F.col("text"))), backend=backend).drop("__raw")
+    writers.export(out, out_path, fmt)
+    stats = dict(cleaned.get)
+    written = stats.pop("n")
+    return {"input": source, "output": out_path, "records_read": read.get["n"] if max_records is None else total, "records_written": written, "elapsed_sec": round(time.perf_counter() - start, 3), "workers": spark.sparkContext.defaultParallelism, "cleaner_stats": stats}
 
 
 def build_report(rows: DataFrame, top_n: int = 10, sections: tuple[str, ...] = SECTIONS) -> dict:
@@ -42,26 +53,60 @@ def build_report(rows: DataFrame, top_n: int = 10, sections: tuple[str, ...] = S
     stats = aggregate.business_stats(rows.withColumn("__ord", F.monotonically_increasing_id()), order="__ord")
     out: dict = {}
     if "summary" in sections:
-        out["summary"] = aggregate.report_summary(stats, rows).first().asDict()
-    if "distribution" in sections:
-        out["distribution"] = {r["star"]: r["n"] for r in aggregate.star_histogram(rows).orderBy("star").collect()}
-    if "sentiment" in sections and "sentiment_label" in rows.columns:
-        out["sentiment"] = {r["label"]: r["n"] for r in aggregate.label_histogram(rows).orderBy("label").collect()}
-    if "top" in sections:
-        out["top"] = [r.asDict() for r in aggregate.top_businesses(stats, top_n).drop("first_ord").collect()]
+        whole = aggregate.report_summary(stats, rows).first()
+        labels = rows if "sentiment_label" in rows.columns else rows.withColumn("sentiment_label", F.lit(None).cast("string"))
+        counts = {r["label"]: r["n"] for r in aggregate.label_histogram(labels).orderBy("label").collect()}
+        out["summary"] = {"total_records": whole["total_reviews"], "unique_businesses": whole["unique_businesses"], "average_reviews_per_business": whole["avg_reviews_per_business"], "sentiment_counts": counts}
+    if "star_distribution" in sections:
+        out["star_distribution"] = {r["star"]: r["n"] for r in aggregate.star_histogram(rows).orderBy("star").collect()}
+    if "top_businesses" in sections:
+        out["top_businesses"] = [r.asDict() for r in aggregate.rounded_stats(aggregate.top_businesses(stats, top_n)).collect()]
     return out
 
 
+def _table(head: tuple[str, str], rows) -> list[str]:
+    bars = "|" + "|".join("-" * (len(h) + 2) for h in head) + "|"
+    return [f"| {head[0]} | {head[1]} |", bars, *(f"| {k} | {v} |" for k, v in rows), ""]
+
+
 def markdown(report: dict) -> str:
-    lines = ["# Review report", ""]
-    for name, body in report.items():
-        lines += [f"## {name.capitalize()}", ""]
-        if name == "top":
-            lines += ["| Business | Reviews | Average |", "|---|---|---|"] + [f"| {r['business_id']} | {r['review_count']} | {r['average_stars']:.2f} |" for r in body]
-        else:
-            lines += [f"- {k}: {v}" for k, v in body.items()]
-        lines.append("")
-    return "\n".join(lines)
+    """The report as Markdown; sections that aren't in it are left out."""
+    lines = ["# Pipeline Report", ""]
+    if whole := report.get("summary"):
+        metrics = {"Total records": "total_records", "Unique businesses": "unique_businesses", "Avg reviews/business": "average_reviews_per_business"}
+        lines += ["## Summary", "", *_table(("Metric", "Value"), [(title, whole[k]) for title, k in metrics.items()])]
+        lines += ["### Sentiment Counts", "", *_table(("Sentiment", "Count"), whole["sentiment_counts"].items())]
+    if "star_distribution" in report:
+        lines += ["## Star Distribution", "", *_table(("Stars", "Count"), sorted(report["star_distribution"].items()))]
+    if "top_businesses" in report:
+        lines += ["## Top Businesses", "", *(f"- **{b['business_id']}**: {b['review_count']} reviews, avg {b['average_stars']:.2f} stars" for b in report["top_businesses"])]
+    return "\n".join(lines) + "\n"
+
+
+def first_lines(lines: DataFrame, fields: list[str] | None) -> DataFrame:
+    """Lines of JSON with ``k``, what tells records apart: their values, whatever the order of keys or the spacing, with
+    their types (``1``, ``1.0`` and ``"1"`` differ). A field that is missing counts as null; lines that are no JSON are left out."""
+    parsed = lines.withColumn("v", F.try_parse_json("value")).filter(F.col("v").isNotNull())
+    parts = [F.try_variant_get("v", f"$.{k}", "variant") for k in fields] if fields else [F.col("v")]
+    told = [F.concat_ws(" ", F.coalesce(F.to_json(p), F.lit("null")), F.coalesce(F.schema_of_variant(p), F.lit("VOID"))) for p in parts]
+    return parsed.withColumn("k", F.to_json(F.array(*told)))
+
+
+def analyze(spark: SparkSession, source: str, target: str, text_field: str = "text", positive: float = POSITIVE, negative: float = NEGATIVE, fmt: str = "jsonl", backend: str = "auto") -> dict:
+    """Every record of a file with its sentiment, other fields as they are, and the counts of labels, from the job that writes."""
+    seen = Observation()
+    rows = read_jsonl(spark, source).filter(F.schema_of_variant("record").startswith("OBJECT"))
+    scored = enrich(rows.withColumn("__text", F.try_variant_get("record", f"$.{text_field}", "string")), "__text", backend, positive, negative).drop("__text")
+    label = F.col("sentiment_label")
+    counted = scored.observe(seen, F.count(F.lit(1)).alias("total"), *[F.count_if(label == v).alias(v) for v in ("positive", "negative", "neutral")])
+    added = {c: counted[c] for c in ("sentiment_polarity", "sentiment_subjectivity", "sentiment_label")}
+    # the fields of an object and those added, in one object
+    whole = F.concat(F.regexp_replace(F.to_json("record"), r"\}$", ""), F.when(F.to_json("record") == "{}", "").otherwise(","), F.regexp_replace(F.to_json(F.struct(*[c.alias(n) for n, c in added.items()])), r"^\{", ""))
+    if fmt == "json":
+        writers.json_array(counted.select(whole.alias("j")), target)
+    else:
+        counted.select(whole.alias("value")).write.mode("overwrite").text(target)
+    return dict(seen.get)
 
 
 def validate_file(spark: SparkSession, path: str, required: list[str], max_errors: int = 100) -> list[str]:
@@ -87,7 +132,7 @@ def _parser() -> argparse.ArgumentParser:
             q.add_argument("--" + flag.replace("_", "-"), **kw)
 
     add("run", format={"default": "jsonl"}, min_stars={"type": float}, sample_rate={"type": float, "default": 1.0}, seed={"type": int}, max_records={"type": int}, backend={"default": "auto"})
-    add("sentiment", format={"default": "jsonl"}, backend={"default": "auto"})
+    add("sentiment", format={"default": "jsonl", "choices": ["jsonl", "json"]}, backend={"default": "auto"}, text_field={"default": "text"}, positive_threshold={"type": float, "default": POSITIVE}, negative_threshold={"type": float, "default": NEGATIVE})
     add("report", False, output={}, format={"default": "json"}, top={"type": int, "default": 10}, sections={"nargs": "*", "default": list(SECTIONS)})
     add("dedup", key_fields={"nargs": "*"}, stats={"action": "store_true"})
     add("partition", field={"default": "stars"})
@@ -104,11 +149,9 @@ def main(argv: list[str] | None = None) -> int:
         if a.command == "run":
             print(json.dumps(run_pipeline(spark, a.source, a.target, a.format, a.min_stars, a.sample_rate, a.seed, a.max_records, a.backend)))
         elif a.command == "sentiment":
-            out = enrich(read_jsonl(spark, a.source, schemas.REVIEW), backend=a.backend)
-            writers.export(out, a.target, a.format)
-            print(json.dumps(label_counts(out).first().asDict()))
+            print(json.dumps(analyze(spark, a.source, a.target, a.text_field, a.positive_threshold, a.negative_threshold, a.format, a.backend)))
         elif a.command == "report":
-            rows = read_jsonl(spark, a.source, schemas.REVIEW.add("sentiment_label", "string"))
+            rows = read_jsonl(spark, a.source, T.StructType([*schemas.REVIEW.fields, T.StructField("sentiment_label", T.StringType())]))
             report = build_report(rows, a.top, tuple(a.sections))
             body = markdown(report) if a.format == "markdown" else json.dumps(report, indent=2)
             if a.output:
@@ -117,8 +160,7 @@ def main(argv: list[str] | None = None) -> int:
             else:
                 print(body)
         elif a.command == "dedup":
-            lines = numbered_lines(spark, a.source).withColumn("v", F.try_parse_json("value")).filter(F.col("v").isNotNull())
-            keyed = lines.withColumn("k", F.to_json(F.struct(*[F.try_variant_get("v", f"$.{k}", "variant").alias(k) for k in a.key_fields])) if a.key_fields else F.col("value"))
+            keyed = first_lines(numbered_lines(spark, a.source), a.key_fields)
             dedup.dedup_first(keyed.select("line", "value", "k"), ["k"], ["line"]).orderBy("line").select("value").write.mode("overwrite").text(a.target)
             if a.stats:
                 print(json.dumps(dedup.dedup_stats(keyed, ["k"]).first().asDict()))
@@ -142,7 +184,7 @@ def main(argv: list[str] | None = None) -> int:
             start = time.perf_counter()
             writers.to_chunks(numbered_lines(spark, a.source), a.target, ["line"], a.chunks)
             took = time.perf_counter() - start
-            print(json.dumps({"records": a.records, "seconds": round(took, 3), "records_per_second": round(a.records / took, 1)}))
+            print(json.dumps(RunMetrics("split", a.records, a.records, took, size_mb(a.source, spark)).to_dict()))
         return 0
     except (FileNotFoundError, ValueError) as e:
         print(e, file=sys.stderr)

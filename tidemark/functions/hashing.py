@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pa_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,24 @@ def short_id(df: DataFrame, fields: Sequence[str] | None = None, length: int = 8
     return F.substring(record_fingerprint(df, fields), 1, length)
 
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sha256) of each file's content."""
-    return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))
+def file_digests(spark: SparkSession, path: str, block: int = 1 << 20) -> DataFrame:
+    """(path, sha256) of each file's content. Only names are listed by Spark; a file of any size is read in blocks, one task
+    per file."""
+    names = spark.read.format("binaryFile").load(path).select("path")
+
+    def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from urllib.parse import unquote
+
+        for batch in batches:
+            out = []
+            for uri in batch.column(0).to_pylist():
+                local = uri.startswith("file:")
+                where = None if local else pa_fs.FileSystem.from_uri(uri)
+                h = hashlib.sha256()
+                with open(unquote("/" + uri[5:].lstrip("/")), "rb") if local else where[0].open_input_stream(where[1]) as f:
+                    while part := f.read(block):
+                        h.update(part)
+                out.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["path", "sha256"])
+
+    return names.repartition("path").mapInArrow(digest, "path string, sha256 string")

@@ -82,6 +82,15 @@ def enrich(df: DataFrame, text: str = "text", backend: str = "auto", positive: f
     return scored.withColumns({"sentiment_polarity": F.col("__s.polarity"), "sentiment_subjectivity": F.col("__s.subjectivity"), "sentiment_label": label(F.col("__s.polarity"), positive, negative)}).drop("__s")
 
 
+def result(c: Column, backend: str = "auto", positive: float = POSITIVE, negative: float = NEGATIVE) -> Column:
+    """Struct of polarity and subjectivity to four places, and the label of the polarity before rounding."""
+
+    def parts(s: Column) -> Column:
+        return F.struct(F.round(s["polarity"], 4).alias("polarity"), F.round(s["subjectivity"], 4).alias("subjectivity"), label(s["polarity"], positive, negative).alias("label"))
+
+    return bind(sentiment(c, backend), parts)
+
+
 def label_counts(df: DataFrame, column: str = "sentiment_label") -> DataFrame:
     c = F.col(column)
     return df.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(c == v).alias(v) for v in ("positive", "negative", "neutral")])

@@ -7,10 +7,14 @@ hold a non-ASCII character and is skipped for all others. Null texts are treated
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,10 +24,11 @@ HTML = r"<[^>]+>"
 URL = rf"(?i)https?://[^{WS}]+|www\.[^{WS}]+"
 REPEATED = r"([!?.]){3,}"
 PUNCT = r"[!-/:-@\[-`{-~]"
-EMAIL = r"[a-zA-Z0-9_.+\-]+@[a-zA-Z0-9\-]+\.[a-zA-Z0-9.\-]+"
-PHONE = rf"\+?[0-9][0-9{WS}\-().]{{5,}}[0-9]"
+EMAIL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
+PHONE = rf"\+?\p{{Nd}}[\p{{Nd}}{WS}\-().]{{5,}}\p{{Nd}}"
 STOPWORDS = (
-    "a an the and or but in on at to for of with by from is was are were be been being have has had do does did will would could should may might"
+    "a an the and or but in on at to of for with is are was were be been being "
+    "have has had do does did will would could should may might shall can"
 ).split()
 VOWELS = "[aeiouAEIOU]+"
 
@@ -77,11 +82,19 @@ def clean_text(
     return out if max_length is None else F.substring(out, 1, max_length)
 
 
-def cleaner_stats(df: DataFrame, before: str, after: str, max_length: int | None = None) -> DataFrame:
-    """total_cleaned, empty_inputs, chars_removed and truncated over columns before and after cleaning."""
-    b, a = F.length(text_of(F.col(before))), F.length(F.col(after))
-    cut = F.count_if(a == max_length) if max_length is not None else F.lit(0)
-    return df.agg(F.count(F.lit(1)).alias("total_cleaned"), F.count_if(b == 0).alias("empty_inputs"), F.sum(F.greatest(F.lit(0), b - a)).alias("chars_removed"), cut.cast("long").alias("truncated"))
+def cleaner_counters(before: Column, uncut: Column, max_length: int | None = None) -> list[Column]:
+    """Aggregates of a cleaning: total_cleaned (texts that weren't empty), empty_inputs, chars_removed and truncated. ``uncut`` is
+    the text cleaned without ``max_length``, as a text of exactly that length isn't cut."""
+    b, a = F.length(text_of(before)), F.length(uncut)
+    left = a if max_length is None else F.least(a, F.lit(max_length))
+    cut = F.count_if((b > 0) & (a > max_length)) if max_length is not None else F.sum(F.lit(0))
+    removed = F.sum(F.when(b > 0, F.greatest(F.lit(0), b - left)).otherwise(0))
+    return [F.count_if(b > 0).alias("total_cleaned"), F.count_if(b == 0).alias("empty_inputs"), F.coalesce(removed, F.lit(0)).alias("chars_removed"), F.coalesce(cut, F.lit(0)).cast("long").alias("truncated")]
+
+
+def cleaner_stats(df: DataFrame, before: str, uncut: str, max_length: int | None = None) -> DataFrame:
+    """One row of ``cleaner_counters``."""
+    return df.agg(*cleaner_counters(F.col(f"`{before}`"), F.col(f"`{uncut}`"), max_length))
 
 
 def extract_emails(c: Column) -> Column:
@@ -159,14 +172,25 @@ def reading_ease(c: Column, places: int | None = 2) -> Column:
 
 
 def top_words(df: DataFrame, key: str, text: str, n: int = 10, exclude_stopwords: bool = True) -> DataFrame:
-    """(key, word, n, rank): the most frequent words of each text; ties go to the word met first."""
+    """(key, word, n, rank): the most frequent words of each text; ties go to the word met first. Counted within the row, so
+    nothing is shuffled; a text without words gives no row."""
     bare = F.transform(words(F.col(text)), lambda w: F.btrim(F.lower(w), F.lit(".,!?;:\"'")))
-    flat = df.select(key, F.posexplode(bare).alias("pos", "word"))
     if exclude_stopwords:
-        flat = flat.filter((F.col("word") != "") & ~F.col("word").isin(*STOPWORDS))
-    counts = flat.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
-    order = Window.partitionBy(key).orderBy(F.desc("n"), F.asc("first"))
-    return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select(key, "word", "n", "rank")
+        bare = F.filter(bare, lambda w: (w != "") & ~w.isin(*STOPWORDS))
+    kind = df.schema[key].dataType.simpleString()
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            top = [Counter(ws).most_common(n) for ws in batch.column(1).to_pylist()]  # in order of first sight among equals
+            sizes = np.array([len(t) for t in top], np.int64)
+            rank = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
+            flat = [x for t in top for x in t]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(np.repeat(np.arange(len(top)), sizes))), pa.array([w for w, _ in flat], pa.string()), pa.array([c for _, c in flat], pa.int64()), pa.array(rank, pa.int32())],
+                [key, "word", "n", "rank"],
+            )
+
+    return df.select(F.col(f"`{key}`").alias(key), bare.alias("__words")).mapInArrow(count, f"`{key}` {kind}, word string, n bigint, rank int")
 
 
 def categories(c: Column) -> Column:

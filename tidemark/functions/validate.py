@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -76,8 +77,10 @@ class FieldSpec:
         absent = v.isNull() | (shape == "VOID")
         typed = F.lit(True) if self.kind == "any" else shape.isin(*TYPES[self.kind])
         ok = ~absent & typed
-        number, text = F.try_variant_get(record, path, "double"), F.try_variant_get(record, path, "string")
-        length = F.length(text)
+        number = F.when(shape.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "BOOLEAN"), F.try_variant_get(record, path, "double"))
+        text = F.when(shape == "STRING", F.try_variant_get(record, path, "string"))
+        # of texts and lists; nothing else has a length
+        length = F.when(shape == "ARRAY", F.size(F.try_variant_get(record, path, "array<variant>"))).otherwise(F.length(text))
         checks = [(absent & F.lit(self.required), "required field is missing"), (~absent & ~typed, f"expected {self.kind}")]
         if self.min_value is not None:
             checks.append((ok & (number < self.min_value), f"below {self.min_value}"))
@@ -87,8 +90,10 @@ class FieldSpec:
             checks.append((ok & (length < self.min_length), f"shorter than {self.min_length}"))
         if self.max_length is not None:
             checks.append((ok & (length > self.max_length), f"longer than {self.max_length}"))
-        if self.allowed is not None:
-            checks.append((ok & ~text.isin(*map(str, self.allowed)), "value not allowed"))
+        if self.allowed:
+            words, numbers = [x for x in self.allowed if isinstance(x, str)], [float(x) for x in self.allowed if isinstance(x, (int, float))]
+            found = F.coalesce(text.isin(*words), F.lit(False)) | F.coalesce(number.isin(*numbers), F.lit(False))
+            checks.append((ok & ~found, "value not allowed"))
         return [F.when(c, F.lit(f"{self.name}: {m}")) for c, m in checks]
 
 
@@ -116,6 +121,25 @@ def jsonl_syntax_errors(spark: SparkSession, path: str, max_errors: int = 100) -
     return bad.orderBy("line").limit(max_errors)
 
 
+def valid_review_record(record: Column) -> Column:
+    """Is a variant an object with review_id, user_id, business_id and stars, of which the last is a number from 1 to 5?"""
+    return (F.size(missing_fields(record, ["review_id", "user_id", "business_id", "stars"])) == 0) & valid_stars(F.try_variant_get(record, "$.stars", "string"))
+
+
+def input_path(path: str) -> str:
+    """The absolute path of a file that exists, is a file and can be read."""
+    full = os.path.realpath(path)
+    if not os.path.isfile(full) or not os.access(full, os.R_OK):
+        raise ValueError(f"{full}: {'not a file' if os.path.exists(full) else 'does not exist'}" if not os.path.isfile(full) else f"{full}: not readable")
+    return full
+
+
+def output_prefix(prefix: str) -> str:
+    if not prefix:
+        raise ValueError("the output prefix is empty")
+    return prefix
+
+
 def missing_fields(record: Column, required: Sequence[str]) -> Column:
     """Required keys that a variant object lacks; a key with a null value is there."""
     there = F.coalesce(F.json_object_keys(F.to_json(record)), F.array().cast("array<string>"))

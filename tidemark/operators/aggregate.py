@@ -34,6 +34,16 @@ def business_stats(df: DataFrame, key: str = "business_id", order: str | None =
     return df.filter(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(key).agg(*aggs)
 
 
+def one_business(stats: DataFrame, value: str, key: str = "business_id") -> DataFrame:
+    """The row of one key, if it has any."""
+    return stats.filter(F.col(key) == value)
+
+
+def rounded_stats(stats: DataFrame) -> DataFrame:
+    """The stats as a report shows them, averages to three places."""
+    return stats.withColumn("average_stars", F.round("average_stars", 3)).select("business_id", "review_count", "average_stars", "useful_sum", "positive_count", "negative_count")
+
+
 def partial_business_stats(df: DataFrame, key: str = "business_id") -> DataFrame:
     """Mergeable sums of ``business_stats``."""
     s = stars_of(F.col("stars"))

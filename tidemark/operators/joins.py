@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.dedup import extreme_rows
+
 SIDE = "__r_"
 
 
 def lookup(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row per non-null key, the last by ``order``. A grouped maximum of a struct, so map-side combine applies and no
-    key gathers its rows."""
-    packed = F.max_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*[F.col(f"`{o}`") for o in order]))
-    return df.filter(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("__key")).agg(packed.alias("__row")).select("__row.*")
+    """One row per non-null key, the last by ``order``; no key gathers its rows (``extreme_rows``)."""
+    return extreme_rows(df.filter(F.col(f"`{key}`").isNotNull()), [key], order, F.max)
 
 
 def _right(lookup_df: DataFrame, key: str, prefix: str, taken: set[str]) -> tuple[DataFrame, list[tuple[str, str]]]:

@@ -27,7 +27,7 @@ def stratified(df: DataFrame, stratum: str, rate: float, key: str, seed: int = 0
     """Exactly max(1, round-half-even(n * rate)) rows of each stratum, null being one.
 
     A stratum's quota is found without gathering it: lots are cut into 4096 buckets, the running count of buckets gives
-    the one in which the quota ends, and only that bucket is ranked.
+    the one in which the quota ends; rows of later buckets are dropped, the others ranked within their bucket.
     """
     if not 0 < rate <= 1:
         raise ValueError("rate must be in (0, 1]")
@@ -37,11 +37,9 @@ def stratified(df: DataFrame, stratum: str, rate: float, key: str, seed: int = 0
     up = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("__s")
     plan = sizes.select("__s", F.col("__b").alias("__pb"), (F.sum("c").over(up) - F.col("c")).alias("before"), "c", F.greatest(F.lit(1), F.bround(F.sum("c").over(whole) * F.lit(rate)).cast("long")).alias("quota"))
-    joined = drawn.join(plan, s.eqNullSafe(F.col("__s")) & (F.col("__b") == F.col("__pb")))
-    sure = joined.filter(F.col("before") + F.col("c") <= F.col("quota")).select(*df.columns)
-    edge = joined.filter((F.col("before") < F.col("quota")) & (F.col("before") + F.col("c") > F.col("quota")))
+    joined = drawn.join(plan, s.eqNullSafe(F.col("__s")) & (F.col("__b") == F.col("__pb"))).filter(F.col("before") < F.col("quota"))
     rank = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__lot", key))
-    return sure.unionByName(edge.withColumn("__n", rank).filter(F.col("before") + F.col("__n") <= F.col("quota")).select(*df.columns))
+    return joined.withColumn("__n", rank).filter(F.col("before") + F.col("__n") <= F.col("quota")).select(*df.columns)
 
 
 def strata_counts(df: DataFrame, stratum: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,11 +62,20 @@ def normalise_fields(df: DataFrame, chains: Mapping[str, Sequence[Callable[[Colu
     return df.withColumns({c: reduce(lambda x, f: f(x), fs, F.col(f"`{c}`")) for c, fs in chains.items() if c not in absent})
 
 
+def _called(p: Callable):
+    @F.arrow_udf("boolean")
+    def check(rows: pa.Array) -> pa.Array:
+        return pa.array([bool(p(r)) for r in rows.to_pylist()], pa.bool_())
+
+    return check
+
+
 def keep_if(df: DataFrame, predicates: Sequence[Column | Callable]) -> DataFrame:
-    """Rows for which every predicate holds; null counts as false. A Python callable on the row is the slow path."""
+    """Rows for which every predicate holds; null counts as false. A Python callable gets the row as a dict; it is the slow
+    path, in Arrow batches."""
     cols = []
     for p in predicates:
-        cols.append(p if isinstance(p, Column) else F.udf(lambda r, p=p: bool(p(r.asDict(True))), "boolean")(F.struct("*")))
+        cols.append(p if isinstance(p, Column) else _called(p)(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     return df.filter(F.coalesce(reduce(and_, cols), F.lit(False))) if cols else df
 
 

@@ -75,7 +75,13 @@ def p6_running(spark: SparkSession, d: str) -> DataFrame:
     return running(df, "business_id", ["row_id"], "stars").filter(F.col("business_id").isNotNull()).select("row_id", "rank_in_key", "running_mean")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p5_found, p5_report, p6_found, p6_stats, p6_running)}
+def running_wide(spark: SparkSession, d: str) -> DataFrame:
+    """The same rank and mean on whole records."""
+    df = load(spark, d, "yelp_review").withColumn("digest", F.md5("text"))
+    return running(df, "business_id", ["row_id"], "stars").select("row_id", "business_id", "digest", "rank_in_key", "running_mean")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p5_found, p5_report, p6_found, p6_stats, p6_running, running_wide)}
 
 _P5 = """
 WITH b AS (SELECT business_id AS k, min(loaded_at) AS came FROM yelp_business WHERE business_id IS NOT NULL GROUP BY 1),
@@ -99,6 +105,8 @@ SQL = {
     "p6_found": "SELECT business_id FROM yelp_review WHERE business_id IS NOT NULL GROUP BY 1 HAVING count(*) >= 0.03 * (SELECT count(*) FROM yelp_review)",
     "p6_stats": """SELECT business_id, count(*) AS n, min(row_id) AS first_row_id, max(row_id) AS last_row_id, CAST(sum(useful) AS BIGINT) AS sum_useful,
         CAST(sum(funny) AS BIGINT) AS sum_funny, CAST(sum(cool) AS BIGINT) AS sum_cool, avg(stars) AS mean_stars FROM yelp_review WHERE business_id IS NOT NULL GROUP BY 1""",
+    "running_wide": """SELECT row_id, business_id, md5(text) AS digest, count(*) OVER w AS rank_in_key, avg(stars) OVER w AS running_mean FROM yelp_review
+        WINDOW w AS (PARTITION BY business_id ORDER BY row_id ROWS UNBOUNDED PRECEDING)""",
     "p6_running": """SELECT row_id, count(*) OVER w AS rank_in_key, avg(stars) OVER w AS running_mean FROM yelp_review WHERE business_id IS NOT NULL
         WINDOW w AS (PARTITION BY business_id ORDER BY row_id ROWS UNBOUNDED PRECEDING)""",
 }

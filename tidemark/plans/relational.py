@@ -28,8 +28,11 @@ def query(sql: str | None = None):
     return add
 
 
-# Fragments of SQL. The white-space class and patterns are those of functions/text.py.
-_WS = text.WS
+# Fragments of SQL. Every pattern and word list is spelled out here, so that the SQL doesn't rest on the functions it checks.
+_WS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_EMAIL_SQL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
+_PHONE_SQL = rf"\+?\p{{Nd}}[\p{{Nd}}{_WS}\-().]{{5,}}\p{{Nd}}"
+_PUNCT_SQL = r"[!-/:-@\[-`{-~]"
 
 
 def _strip(sql: str) -> str:
@@ -39,12 +42,13 @@ def _strip(sql: str) -> str:
 _WORDS = "list_filter(regexp_split_to_array(" + _strip("coalesce(text, '')") + ", '[" + _WS + "]+'), lambda w: w <> '')"
 _STARS = "coalesce(stars, 0.0)"
 _KEY = "greatest(1, least(5, CAST(round_even(" + _STARS + ", 0) AS INTEGER)))"
-_STOPS = "[" + ", ".join(f"'{w}'" for w in text.STOPWORDS) + "]"
+_STOPS = """['a', 'an', 'the', 'and', 'or', 'but', 'in', 'on', 'at', 'to', 'of', 'for', 'with', 'is', 'are', 'was', 'were', 'be', 'been', 'being',
+    'have', 'has', 'had', 'do', 'does', 'did', 'will', 'would', 'could', 'should', 'may', 'might', 'shall', 'can']"""
 
 
 def _clean_sql(column: str) -> str:
     out = f"coalesce({column}, '')"
-    for pattern, to in ((text.HTML, " "), (text.URL, " "), (text.REPEATED, r"\1\1")):
+    for pattern, to in (("<[^>]+>", " "), (rf"(?i)https?://[^{_WS}]+|www\.[^{_WS}]+", " "), ("([!?.]){3,}", r"\1\1")):
         out = f"regexp_replace({out}, '{pattern}', '{to}', 'g')"
     return f"trim(regexp_replace(lower({out}), '[{_WS}]+', ' ', 'g'), ' ')"
 
@@ -78,14 +82,15 @@ def clean_reviews_nfkc(spark, d):
     return _texts(spark, d, "yelp_review").select("row_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
-@query(f"""SELECT count(*) AS total_cleaned, count(*) FILTER (length(coalesce(text, '')) = 0) AS empty_inputs,
-    CAST(sum(greatest(0, length(coalesce(text, '')) - length({_clean_sql('text')}))) AS BIGINT) AS chars_removed, CAST(0 AS BIGINT) AS truncated FROM yelp_review""")
+@query(f"""SELECT count(*) FILTER (length(coalesce(text, '')) > 0) AS total_cleaned, count(*) FILTER (length(coalesce(text, '')) = 0) AS empty_inputs,
+    CAST(sum(greatest(0, length(coalesce(text, '')) - least(length({_clean_sql('text')}), 200))) AS BIGINT) AS chars_removed,
+    count(*) FILTER (length({_clean_sql('text')}) > 200) AS truncated FROM yelp_review""")
 def cleaner_counters(spark, d):
     df = _texts(spark, d, "yelp_review").select("text", text.clean_text(F.col("text"), unicode=False).alias("cleaned"))
-    return text.cleaner_stats(df, "text", "cleaned")
+    return text.cleaner_stats(df, "text", "cleaned", 200)
 
 
-@query(f"SELECT row_id, regexp_extract_all(coalesce(text, ''), '{text.EMAIL}') AS emails, regexp_extract_all(coalesce(text, ''), '{text.PHONE}') AS phones FROM yelp_review")
+@query(f"SELECT row_id, regexp_extract_all(coalesce(text, ''), '{_EMAIL_SQL}') AS emails, regexp_extract_all(coalesce(text, ''), '{_PHONE_SQL}') AS phones FROM yelp_review")
 def extract_contacts(spark, d):
     return _texts(spark, d, "yelp_review").select("row_id", text.extract_emails(F.col("text")).alias("emails"), text.extract_phones(F.col("text")).alias("phones"))
 
@@ -103,7 +108,7 @@ def text_statistics(spark, d):
 
 @query(f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
     s AS (SELECT doc_id, w, len(w) AS n, greatest(1, len(list_filter(regexp_split_to_array(t, '[.!?]+'), lambda x: {_strip('x')} <> ''))) AS p,
-    CAST(list_sum(list_transform(w, lambda x: greatest(1, len(regexp_extract_all(x, '{text.VOWELS}'))))) AS DOUBLE) AS y FROM t)
+    CAST(list_sum(list_transform(w, lambda x: greatest(1, len(regexp_extract_all(x, '[aeiouAEIOU]+'))))) AS DOUBLE) AS y FROM t)
     SELECT doc_id, CASE WHEN n > 0 THEN (CAST(206.835 AS DOUBLE) - CAST(1.015 AS DOUBLE) * (CAST(n AS DOUBLE) / p) - CAST(84.6 AS DOUBLE) * (y / n)) ELSE 0.0 END AS ease FROM s""")
 def reading_levels(spark, d):
     return _texts(spark, d, "documents").select("doc_id", text.reading_ease(F.col("text"), None).alias("ease"))
@@ -266,6 +271,13 @@ def merged_stats(spark, d):
     return aggregate.merge_business_stats(aggregate.partial_business_stats(r.filter("row_id % 2 = 0")), aggregate.partial_business_stats(r.filter("row_id % 2 = 1")))
 
 
+@query(f"SELECT business_id, review_count, round(average_stars, 3) AS average_stars, useful_sum, positive_count, negative_count FROM ({_STATS} {_HAVING_KEY}) WHERE business_id = (SELECT max(business_id) FROM yelp_business)")
+def business_lookup(spark, d):
+    """The stats of one business, the one with the greatest id."""
+    stats, last = aggregate.business_stats(load(spark, d, "yelp_review")), load(spark, d, "yelp_business").agg(F.max("business_id")).first()[0]
+    return aggregate.rounded_stats(aggregate.one_business(stats, last))
+
+
 @query(f"SELECT * FROM ({_STATS}, min(row_id) AS first_ord {_HAVING_KEY}) WHERE review_count >= 5 ORDER BY average_stars DESC, first_ord LIMIT 10")
 def top_businesses(spark, d):
     return aggregate.top_businesses(aggregate.business_stats(load(spark, d, "yelp_review"), order="row_id"))
@@ -392,6 +404,21 @@ def split_chunks(spark, d):
     return partitioning.split_chunks(load(spark, d, "documents").select("doc_id"), ["doc_id"], 7)
 
 
+@query(f"""WITH n AS (SELECT row_id, text, row_number() OVER (ORDER BY row_id) - 1 AS rn, count(*) OVER () AS c FROM yelp_review)
+    SELECT row_id, md5(text) AS digest, CAST(least(rn // (c // 7), 6) AS INTEGER) AS chunk FROM n""")
+def split_records(spark, d):
+    """Whole records with their chunk."""
+    df = load(spark, d, "yelp_review").select("row_id", "text", "stars", "date")
+    return partitioning.split_chunks(df, ["row_id"], 7).select("row_id", F.md5("text").alias("digest"), "chunk")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS rn FROM lineitem")
+def numbered(spark, d):
+    """Rows of many columns numbered in a total order."""
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    return partitioning.with_row_number(load(spark, d, "lineitem"), order).select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "rn")
+
+
 @query(f"{_SPLIT} SELECT chunk, count(*) AS lines FROM s GROUP BY 1")
 def split_plan(spark, d):
     return partitioning.split_plan(load(spark, d, "documents").select("doc_id"), ["doc_id"], 7)
@@ -461,6 +488,26 @@ def valid_records(spark, d):
     return validate.filter_valid(_part_records(spark, d), "record", _SPECS).select("p_partkey")
 
 
+@query("""SELECT event_id, list_filter([CASE WHEN k < 2 THEN 'tags: shorter than 2' END, CASE WHEN k > 5 THEN 'tags: longer than 5' END, CASE WHEN event_type NOT IN ('click', 'view') THEN 'kind: value not allowed' END], lambda x: x IS NOT NULL) AS errors
+    FROM (SELECT event_id, event_type, event_id % 8 AS k FROM events)""")
+def list_schema_errors(spark, d):
+    """A list's length is its number of elements."""
+    e = load(spark, d, "events").select("event_id", "event_type")
+    tags = F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.when(i <= F.col("event_id") % 8, i))
+    record = F.parse_json(F.to_json(F.struct(F.array_compact(tags).alias("tags"), F.col("event_type").alias("kind"))))
+    specs = [validate.FieldSpec("tags", "list", min_length=2, max_length=5), validate.FieldSpec("kind", "str", allowed=["click", "view"])]
+    return e.select("event_id", validate.schema_errors(record, specs).alias("errors"))
+
+
+@query("SELECT row_id, review_id IS NOT NULL AND user_id IS NOT NULL AND coalesce(stars BETWEEN 1 AND 5, false) AS ok FROM yelp_review")
+def review_records(spark, d):
+    """Records with their required fields and a rating; a null key is written as no field here, an absent business_id isn't."""
+    r = load(spark, d, "yelp_review").select("row_id", "review_id", "user_id", "business_id", "stars")
+    some = F.to_json(F.struct("review_id", "user_id", "stars"))
+    record = F.parse_json(F.concat(F.regexp_replace(some, r"\}$", F.when(some == "{}", "").otherwise(",")), F.lit('"business_id":null}')))
+    return r.select("row_id", validate.valid_review_record(record).alias("ok"))
+
+
 @query("""WITH v AS (SELECT count(*) AS total, count(*) FILTER (stars BETWEEN 1 AND 5) AS valid FROM yelp_review)
     SELECT total, valid, total - valid AS invalid, CAST(valid AS DOUBLE) / total AS valid_rate, 1 - CAST(valid AS DOUBLE) / total AS error_rate FROM v""")
 def validation_metrics(spark, d):
@@ -469,8 +516,9 @@ def validation_metrics(spark, d):
 
 # ---- sentiment ---------------------------------------------------------------------------------------------
 
-_LEX = "list_filter(regexp_split_to_array(" + _strip(f"lower(regexp_replace(coalesce(text, ''), '{text.PUNCT}', ' ', 'g'))") + f", '[{_WS}]+'), lambda w: w <> '')"
-_GOOD, _BAD = ("[" + ", ".join(f"'{w}'" for w in ws) + "]" for ws in (sentiment.GOOD, sentiment.BAD))
+_LEX = "list_filter(regexp_split_to_array(" + _strip(f"lower(regexp_replace(coalesce(text, ''), '{_PUNCT_SQL}', ' ', 'g'))") + f", '[{_WS}]+'), lambda w: w <> '')"
+_GOOD = "['good', 'great', 'excellent', 'superb', 'lovely', 'charming', 'delightful', 'perfect', 'fresh', 'friendly', 'best', 'love', 'loved', 'nice', 'polished', 'memorable', 'thoughtful', 'flawless']"
+_BAD = "['bad', 'awful', 'terrible', 'horrible', 'worst', 'sour', 'soggy', 'bland', 'burnt', 'stale', 'rude', 'dirty', 'slow', 'overpriced', 'mediocre', 'greasy', 'chaotic', 'careless']"
 _POLARITY = f"""s AS (SELECT row_id, source, len(list_filter(w, lambda x: list_contains({_GOOD}, x))) AS g, len(list_filter(w, lambda x: list_contains({_BAD}, x))) AS b, len(w) AS n FROM (SELECT row_id, source, {_LEX} AS w FROM yelp_review)),
     p AS (SELECT row_id, source, CASE WHEN g + b > 0 THEN CAST(CAST(g AS BIGINT) - CAST(b AS BIGINT) AS DOUBLE) / (g + b) ELSE 0.0 END AS polarity, CASE WHEN n > 0 THEN CAST(g + b AS DOUBLE) / n ELSE 0.0 END AS subjectivity FROM s)"""
 _LABEL = "CASE WHEN polarity > 0.1 THEN 'positive' WHEN polarity < -0.1 THEN 'negative' ELSE 'neutral' END"
@@ -481,6 +529,13 @@ def lexicon_sentiment(spark, d):
     return sentiment.enrich(_texts(spark, d, "yelp_review").select("row_id", "text"), backend="lexicon").drop("text")
 
 
+@query(f"WITH {_POLARITY} SELECT row_id, round(polarity, 4) AS polarity, round(subjectivity, 4) AS subjectivity, {_LABEL} AS label FROM p")
+def sentiment_results(spark, d):
+    """Results as they are shown, to four places."""
+    r = _texts(spark, d, "yelp_review").select("row_id", sentiment.result(F.col("text"), "lexicon").alias("r"))
+    return r.select("row_id", "r.polarity", "r.subjectivity", "r.label")
+
+
 @query(f"WITH {_POLARITY} SELECT {_LABEL} AS label, count(*) AS n FROM p GROUP BY 1")
 def label_histogram(spark, d):
     return aggregate.label_histogram(sentiment.enrich(_texts(spark, d, "yelp_review").select("text"), backend="lexicon"))
@@ -515,6 +570,6 @@ def derived_reviews(spark, d):
     return joined.groupBy("business_id", "city").agg(F.count(F.lit(1)).alias("n"), F.avg("stars").alias("mean"))
 
 
-@query("SELECT i AS id, 'Synthetic review number ' || i AS text, i % 5 + 1 AS stars, i % 3 AS useful, i % 2 AS funny, i % 4 AS cool FROM range(1000) t(i)")
+@query("SELECT i AS id, 'This is synthetic review number ' || i || ' for benchmarking purposes.' AS text, i % 5 + 1 AS stars, i % 3 AS useful, i % 2 AS funny, i % 4 AS cool FROM range(1000) t(i)")
 def synthetic_reviews(spark, d):
     return synthetic(spark, 1000)

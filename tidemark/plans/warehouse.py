@@ -46,11 +46,11 @@ def top_users_by_category(reviews: DataFrame, businesses: DataFrame, pattern: st
 
 
 def labels_by_city(reviews: DataFrame, businesses: DataFrame, label: str = "sentiments") -> DataFrame:
-    return reviews.join(businesses.select("business_id", "city"), "business_id").groupBy("city", label).agg(F.count(F.lit(1)).alias("n"))
+    return reviews.join(businesses.select("business_id", "city"), "business_id").groupBy("city", label).agg(F.count(F.lit(1)).alias("n")).orderBy("city", label)
 
 
 def monthly_counts(reviews: DataFrame, date: str = "review_date") -> DataFrame:
-    return reviews.groupBy(F.date_trunc("month", F.col(date)).cast("date").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    return reviews.groupBy(F.date_trunc("month", F.col(date)).cast("date").alias("month")).agg(F.count(F.lit(1)).alias("n")).orderBy("month")
 
 
 def top_by_label(reviews: DataFrame, businesses: DataFrame, label: str, value: str, n: int = 10) -> DataFrame:
@@ -77,5 +77,17 @@ def table_row_count(spark: SparkSession, table: str) -> int:
     return spark.table(table).count()
 
 
+def upload(spark: SparkSession, local_path: str, folder: str, overwrite: bool = True) -> str:
+    """Copies a file of the driver's machine to a folder of any file system; its new path."""
+    import os
+
+    jvm, name = spark._jvm, os.path.basename(local_path)
+    to = jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") + "/" + name)
+    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(to.getParent())
+    fs.copyFromLocalFile(False, overwrite, jvm.org.apache.hadoop.fs.Path("file://" + os.path.abspath(local_path)), to)
+    return to.toString()
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime")

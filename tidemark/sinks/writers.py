@@ -22,20 +22,25 @@ def to_jsonl(df: DataFrame, path: str) -> int:
     return seen.get["n"]
 
 
-def to_json(df: DataFrame, path: str, indent: int = 2) -> int:
-    """One JSON array in one file, for results of report size; rows are streamed, never held at once."""
+def json_array(texts: DataFrame, path: str, indent: int = 2) -> int:
+    """One JSON array in one file from a column of JSON texts, for results of report size; rows are streamed, never held at once."""
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     n = 0
     with open(path, "w", encoding="utf-8") as f:
         f.write("[")
-        for row in df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).toLocalIterator():
-            body = json.dumps(json.loads(row["j"]), ensure_ascii=False, indent=indent)
+        for row in texts.toLocalIterator():
+            body = json.dumps(json.loads(row[0]), ensure_ascii=False, indent=indent)
             f.write(("," if n else "") + "\n" + "\n".join(" " * indent + x for x in body.split("\n")))
             n += 1
         f.write("\n]\n" if n else "]\n")
     return n
 
 
+def to_json(df: DataFrame, path: str, indent: int = 2) -> int:
+    """One JSON array, nulls written."""
+    return json_array(df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})), path, indent)
+
+
 def to_csv(df: DataFrame, path: str, fields: list[str] | None = None) -> None:
     """With header; ``fields`` are the columns to write, absent ones empty."""
     if fields is not None:
