@@ -23,9 +23,12 @@ def to_jsonl(df: DataFrame, path: str) -> int:
 
 
 def json_array(texts: DataFrame, path: str, indent: int = 2) -> int:
-    """One JSON array in one file from a column of JSON texts, for results of report size; rows are streamed, never held at once."""
+    """One JSON array in one file from a column of JSON texts, for results of report size. The texts are written by the
+    executors first, which also ends any observation of them; then they are streamed in order, never held at once."""
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    n = 0
+    parts, spark, n = f"{path}.parts", texts.sparkSession, 0
+    texts.write.mode("overwrite").text(parts)
+    texts = spark.read.text(parts).select("value", F.col("_metadata.file_name").alias("f"), F.monotonically_increasing_id().alias("i")).orderBy("f", "i").select("value")
     with open(path, "w", encoding="utf-8") as f:
         f.write("[")
         for row in texts.toLocalIterator():
@@ -33,6 +36,8 @@ def json_array(texts: DataFrame, path: str, indent: int = 2) -> int:
             f.write(("," if n else "") + "\n" + "\n".join(" " * indent + x for x in body.split("\n")))
             n += 1
         f.write("\n]\n" if n else "]\n")
+    at = spark._jvm.org.apache.hadoop.fs.Path(parts)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
     return n
 
 
