@@ -68,8 +68,8 @@ def test_cli(spark, tmp_path, capsys):
     assert json.loads((tmp_path / "a.json").read_text())[0]["sentiment_label"] == "neutral"
     report = cli.build_report(jsonl.read_jsonl(spark, str(src), schemas.REVIEW))
     assert report["summary"]["total_records"] == 12 and report["summary"]["sentiment_counts"] == {"unknown": 12} and sum(report["star_distribution"].values()) == 12
-    assert report["top_businesses"][0] == {"business_id": "b0", "review_count": 6, "average_stars": 2.833, "useful_sum": 30, "positive_count": 2, "negative_count": 3}
-    assert "| Total records | 12 |" in cli.markdown(report) and "- **b0**: 6 reviews, avg 2.83 stars" in cli.markdown(report)
+    assert report["top_businesses"][0] == {"business_id": "b1", "review_count": 6, "average_stars": 2.833, "useful_sum": 36, "positive_count": 2, "negative_count": 3}
+    assert "| Total records | 12 |" in cli.markdown(report) and "- **b1**: 6 reviews, avg 2.83 stars" in cli.markdown(report)
     assert cli.main(["validate", str(src), "--required", "review_id"]) == 0
     assert cli.main(["validate", str(src), "--required", "nope"]) == 1
     assert cli.main(["split", str(src), str(tmp_path / "s"), "--chunks", "5"]) == 0
