@@ -7,7 +7,8 @@ sentences; a linear model over hashed features is fitted with numpy to the class
 
 where a negative part that falls below zero is pushed back, as the non-negative estimator demands. A confirmed
 text has mostly harmless sentences, so a first fit takes all of its sentences as P and a second only the one
-that scores highest. The prior is estimated from the share of U that reaches the score that half of P reaches.
+that scores highest. The prior is estimated from the share of U that reaches the score that half of P reaches. The threshold is
+where the F1 of held-out texts, with precision taken from the prior, is highest.
 
 A text's score is the logistic of its highest sentence, over the whole text; a sentence ends at a stop, a line end or
 tag, and where a capital follows a small letter (stops are often left out). Tokens are folded so that masked,
@@ -90,7 +91,7 @@ class Features:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(features [tokens, 4], start of each sentence, text of each sentence); index 0 is no feature."""
         t = pc.fill_null(texts.cast(pa.string()), "")
-        t = pc.replace_substring_regex(t, r"<[^>]{0,200}>|\n+", " \ue000 ")
+        t = pc.replace_substring_regex(t, r"<[^>]*>|\n+", " \ue000 ")
         t = pc.replace_substring_regex(t, r"([\p{Ll}\p{N}]) +(\p{Lu}\p{Ll})", "\\1 \ue000 \\2")
         words = pc.utf8_split_whitespace(pc.utf8_lower(t))
         sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False)
@@ -198,28 +199,28 @@ def _highest(z: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return top
 
 
-def _cut(p: np.ndarray, u: np.ndarray) -> float:
-    """A threshold by recall squared over the share flagged, which ranks thresholds as F1 does but needs no confirmed
-    harmless texts: the middle of the range around the best in which it is hardly less, as scores of the whole fit differ
-    somewhat from those of the folds."""
-    low, high = np.quantile(u, 0.5), np.quantile(p, 0.9)
-    at = np.linspace(min(low, high), high, 400)
-    gain = np.array([np.mean(p >= t) ** 2 / max(np.mean(u >= t), 1 / len(u)) for t in at])
-    first = last = int(np.argmax(gain))
-    near = gain >= 0.95 * gain[first]
-    while first > 0 and near[first - 1]:
-        first -= 1
-    while last + 1 < len(at) and near[last + 1]:
-        last += 1
-    return float((at[first] + at[last]) / 2)
+def _balance(p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
+    """(F1, threshold) at the best threshold of held-out scores of confirmed (``p``) and unlabelled (``u``) texts: recall is the
+    share of ``p`` over it, precision the prior times recall over the share of ``u`` over it."""
+    at = np.unique(np.concatenate([p, u[u >= np.quantile(u, 0.5)]]))
+    recall = 1 - np.searchsorted(np.sort(p), at) / len(p)
+    flagged = 1 - np.searchsorted(np.sort(u), at) / len(u)
+    gain = 2 * prior * recall / (prior + np.maximum(flagged, prior * recall))
+    best = int(np.argmax(gain))
+    return float(gain[best]), float(at[best])
 
 
-def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epochs: int = 60, rate: float = 0.3, l2: float = 1e-6, floor: float = -0.2, slack: float = 3.0) -> Model:
+SLACKS = (1.0, 1.5, 2.0, 3.0)
+
+
+def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epochs: int = 60, rate: float = 0.3, l2: float = 1e-6, floor: float = -0.2, slacks: tuple[float, ...] = SLACKS) -> Model:
     """A model from confirmed and unlabelled texts. Without confirmed texts every score is near 0.
 
-    Sentences and the prior are judged across two folds, each by the model of the other, so neither rests on
-    scores of the texts that were fitted. The fit takes ``slack`` times the estimated prior: too small a prior loses
-    toxic texts, too large a one costs little, as the negative part of the risk can't fall below zero.
+    Sentences, the prior and the threshold are judged across two folds, each by the model of the other, so none rests on
+    scores of the texts that were fitted. The fit takes a multiple of the estimated prior (too small a prior in the risk
+    loses toxic texts, too large a one takes harmless ones along); which of ``slacks`` and which threshold is decided by the
+    estimated F1 of held-out texts. Of the priors estimated at each multiple the least counts, as whatever is flagged
+    wrongly adds to an estimate.
     """
     make = Features()
 
@@ -236,25 +237,36 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
     if not p[2] or not u[2]:
         return Model(np.zeros(DIMENSIONS), -10.0, 0.0)
     per_text = u[2] / len(np.unique(u_doc))
-    for turn in range(3):
+
+    def held_out(weight: float) -> tuple[np.ndarray, np.ndarray]:
         zp, zu = np.zeros(p[2]), np.zeros(u[2])
         for fold in (0, 1):
             mine, other = (p_doc % 2 == fold, u_doc % 2 == fold), (p_doc % 2 != fold, u_doc % 2 != fold)
             if not all(x.any() for x in (*mine, *other)):
                 continue
-            model = _fit(_part(p, mine[0]), _part(u, mine[1]), slack * prior / per_text, epochs, rate, l2, floor)
+            model = _fit(_part(p, mine[0]), _part(u, mine[1]), weight / per_text, epochs, rate, l2, floor)
             zp[other[0]], zu[other[1]] = _logits(_part(p, other[0]), model), _logits(_part(u, other[1]), model)
-        top_p, top_u = _highest(zp, p_doc), _highest(zu, u_doc)
-        half = np.median(top_p[np.unique(p_doc)])
-        prior = float(np.clip(2 * np.mean(top_u[np.unique(u_doc)] >= half), 0.001, 0.3))
-        if turn == 0:
-            # the highest sentence of each confirmed text; texts labelled wrongly have none that stands out
-            keep = (zp == top_p[p_doc]) & (zp > np.quantile(zu, 1 - min(0.2, 3 * prior / per_text)))
-            if keep.sum() >= 4:
-                p, p_doc = _part(p, keep), p_doc[keep]
-    w, b = _fit(p, u, slack * prior / per_text, epochs, rate, l2, floor)
+        return zp, zu
+
+    def tops(zp: np.ndarray, zu: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _highest(zp, p_doc)[np.unique(p_doc)], _highest(zu, u_doc)[np.unique(u_doc)]
+
+    def share(top_p: np.ndarray, top_u: np.ndarray) -> float:
+        return float(np.clip(2 * np.mean(top_u >= np.median(top_p)), 0.001, 0.3))
+
+    zp, zu = held_out(max(slacks) * prior)
+    prior = share(*tops(zp, zu))
+    # the highest sentence of each confirmed text; texts labelled wrongly have none that stands out
+    keep = (zp == _highest(zp, p_doc)[p_doc]) & (zp > np.quantile(zu, 1 - min(0.2, 3 * prior / per_text)))
+    if keep.sum() >= 4:
+        p, p_doc = _part(p, keep), p_doc[keep]
+    judged = [tops(*held_out(slack * prior)) for slack in slacks]
+    weight = prior
+    prior = min(share(*tp) for tp in judged)
+    best = max(range(len(slacks)), key=lambda i: _balance(*judged[i], prior)[0])
+    w, b = _fit(p, u, slacks[best] * weight / per_text, epochs, rate, l2, floor)
     # a text without any known feature scores the bias, which must stay below the threshold
-    return Model(w, b - max(_cut(top_p[np.unique(p_doc)], top_u[np.unique(u_doc)]), b + 1), prior)
+    return Model(w, b - max(_balance(*judged[best], prior)[1], b + 1), prior)
 
 
 def sample(texts: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, label: str) -> tuple[list[str], list[str]]:
