@@ -1,6 +1,7 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from tidemark.llm import neardup as N
@@ -77,11 +78,25 @@ def test_empty_and_components(spark):
     assert got == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100, 102: 100}
 
 
-def test_long_text_signatures_come_in_pieces():
-    c = N.Classes({}, [], 10, 0.75, 60, False, 0.1, 4)
-    words = [f"u{i}" for i in range(700)]
-    sizes = [len(x) for x in c.signatures(words)]
-    assert sum(sizes) == 657 * 656 // 2 and max(sizes) <= 50_000
+def test_long_text_signatures_come_in_pieces(monkeypatch):
+    monkeypatch.setattr(N, "PIECE", 5000)
+    words = np.arange(700, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    c = N.Classes(np.full(N.BUCKETS, 2, np.uint8), np.ones(256, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), 0.75, 60, 6)
+    got = list(c.signatures(words, np.array([700])))
+    assert sum(len(s) for s, _ in got) == 657 * 656 // 2 == len(set(np.concatenate([s for s, _ in got]).tolist())) and max(len(s) for s, _ in got) <= 5000
+
+
+def test_prefix_of_rare_and_frequent_words():
+    """Single words of class 1 first, then pairs, until more words are held than may differ."""
+    table = np.ones(N.BUCKETS, np.uint8)
+    table[1000:2000] = 2
+    c = N.Classes(table, np.ones(256, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), 0.75, 60, 6)
+    words = np.r_[np.arange(10), np.arange(1000, 1050)].astype(np.uint64)
+    sizes = np.array([60])
+    _, of, kind, _, _, length, reached = c.parts(words, sizes)
+    # 60 - 45 differing words and one: ten singles and six of pairs, which are seven words
+    assert list(kind) == [1, 2] and list(length) == [10, 7] and reached[0]
+    assert sum(len(s) for s, _ in c.signatures(words, sizes)) == 10 + 21
 
 
 def varied(rs, words, n, swapped, tag):
@@ -135,3 +150,21 @@ def test_bitmap_comparison_keeps_every_link(monkeypatch, spark):
     rows = corpus(7, 60)
     df = spark.createDataFrame(rows, "key string, text string")
     assert set(map(tuple, N.linked_pairs(df, "key", "text", least=15, posting=1e-9).collect())) == brute(rows, 0.75, 15)
+
+
+def test_pages_of_one_template(spark):
+    """40 texts of 70 words of a template and 10 of their own, among 400 others: all 780 links, by the index alone too."""
+    rows = apart() + [(f"t{i:03}", " ".join([f"tpl{j}" for j in range(70)] + [f"own{i}x{j}" for j in range(10)])) for i in range(40)]
+    df = spark.createDataFrame(rows, "key string, text string")
+    want = brute(rows, 0.75, 60)
+    assert len(want) >= 780
+    for how in ({}, {"exhaustive": True}, {"complete": False}):
+        assert set(map(tuple, N.linked_pairs(df, "key", "text", **how).collect())) == want
+
+
+def test_recall_of_the_index_alone(spark):
+    rows = apart() + [r for i in range(30) for r in varied(random.Random(i), [f"s{(i * 37 + j * 11) % 900}" for j in range(100)], 3, 8, f"v{i}n")]
+    df = spark.createDataFrame(rows, "key string, text string")
+    want = brute(rows, 0.75, 60)
+    got = set(map(tuple, N.linked_pairs(df, "key", "text", complete=False).collect()))
+    assert got <= want and len(got) >= 0.9 * len(want) > 50

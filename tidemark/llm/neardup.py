@@ -1,33 +1,38 @@
 """Near-duplicate texts with small edits, insertions or reordering.
 
 Two texts are linked if they share at least ``share`` of the distinct words of the smaller one. Candidates come from
-token-combination prefixes: words are ordered by document frequency and put into classes; of a class with combination
-size k, a text indexes all k-word combinations of the words in its prefix, single or few words where words are rare,
-more where they are frequent, so that a posting list of unrelated texts stays near ``POSTING`` rows at any corpus size.
-A text's prefix is extended, from rare to frequent, until it holds enough words that the allowed number of differing
-words can't spoil every combination: a class part of c words survives c - k differing ones. Candidate pairs are then
-verified on the exact word sets.
-
-Which links are found. All. Where the prefix reaches that bound before the last class (``WIDEST`` words a combination) is
-used up, the index finds every link of the text, whatever the differing words are. Texts whose prefix doesn't reach it
-(nearly all texts of frequent words, copies and variants of one text in many rows, words of one phrase) are compared with
-each other on bitmaps of their words, cell by cell, by a bound that no link fails. That takes a few nanoseconds a pair but
-grows with the square of the number of such texts; where they are most of the texts, all texts go there and nothing is
-indexed. ``exhaustive=True`` goes on through all classes, so that fewer texts are compared, at a higher cost of the index.
-A class's words are spread over slots by a hash, about
-``group`` of a text's words in each, to bound the combinations; words combine within their slot.
-
-Texts with the same word set are one class: only one representative is indexed, and pairs of representatives are
+token-combination prefixes. Words are put into classes by document frequency: a word in at most ``ONE`` texts is of class 1,
+any other of the least class k for which k independent words as frequent would meet by chance in ``POSTING`` texts. Of a
+class-k part of its prefix a text indexes all k-word combinations: single words where they are rare, combinations where they
+are frequent. A text's prefix is extended, from rare to frequent, until it holds enough words that the allowed number of
+differing words can't spoil every combination (a part of c words survives c - k differing ones), or until the last class
+(the one that words in a share ``REACH`` of all texts are in, so that the same words are indexed at any size of the collection;
+``exhaustive=True`` goes on through all classes at a higher cost of the index). Candidate
+pairs that the bitmaps of their words don't rule out are verified on the word sets.
+
+Which links are found. Of a text whose prefix reaches that bound, all, whatever the differing words are. Texts whose prefix
+doesn't reach it (all texts made of a few hundred frequent words) have those links that any combination of their prefix
+survives, which the worst choice of differing words could prevent. After the index these texts are compared with
+each other on bitmaps, by a bound that no link fails, so that all links are found. That takes a few nanoseconds a pair but
+grows with the square of the number of such texts; ``complete=False`` leaves it out, for collections of such texts that can't
+afford it, and then the index alone decides.
+
+A class's words are spread over slots by a hash, about ``group`` of a text's words in each, to bound the combinations; words
+combine within their slot. Words of a stock phrase come together, so that their combinations would be as frequent as the phrase;
+of such words in more than ``PHRASE`` of all texts (told by least document hashes) only one is used. A phrase that makes up half
+of a text or more, as the template of a page does, is indexed by itself.
+
+Texts with the same word set are one class: copies met in one task are indexed once, and pairs of classes are
 expanded by membership where single pairs are wanted. Texts of fewer than ``least`` distinct words, null and empty ones
-have no link. Words of a stock phrase come together, and their combinations would be as frequent as the phrase; of such
-words (told by least document hashes) only one is used. Only words in more than a set share of texts are sent to the
-executors, at most average length / share of them, a proven bound; counting and indexing run over all texts. A posting list longer than ``BLOCK`` is compared
-block by block in several tasks.
+have no link. Texts are cut into words once; what follows works on 64-bit hashes of words, which are taken for the words. Classes
+go to the executors as one byte for each of ``BUCKETS`` buckets of word hashes, of a fixed size; words that share a bucket count
+together, which can only put a word into a wider class. Besides, at most average length / ``PHRASE`` words are sent.
+A posting list longer than ``BLOCK`` is compared block by block in several tasks.
 """
 
 import re
 from collections.abc import Iterable, Iterator
-from itertools import combinations
+from itertools import combinations, islice
 from math import ceil, comb
 
 import numpy as np
@@ -40,10 +45,14 @@ from tidemark.session import cut_lineage, spread
 
 SHARE, LEAST = 0.75, 60
 POSTING = 0.2
-WIDEST = 6
+ONE = 8  # texts a word of class 1 is in at most
+REACH = 0.1  # share of texts up to which words are indexed
 GROUP = 3.5  # mean number of a text's words of a class in one slot
+PHRASE = 1e-3  # share of texts over which words that come together are told
+BUCKETS = 1 << 21
 BLOCK = 200
 CELL = 1 << 16  # texts in one side of a cell of the bitmap comparison
+PIECE = 1 << 18  # combinations made at once
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -58,14 +67,10 @@ def needed(share: float, size: int) -> int:
     return ceil(share * size - 1e-9)
 
 
-SKIPPED = 1 << 20  # class of words that are left out
+SKIPPED = 255  # class of words that are left out
 MINIMA = 4  # hashes by which words that come together are told
 
 
-def _hash(value: str) -> int:
-    return xxhash.xxh64_intdigest(value)
-
-
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64), pa.int64())
 
@@ -75,118 +80,102 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def followers(rows: Iterable[tuple[str, int, tuple[int, ...]]]) -> set[str]:
-    """Words whose documents are nearly those of another word, as the words of one stock phrase are: their
+def followers(rows: Iterable[tuple[int, int, tuple[int, ...]]]) -> dict[int, int]:
+    """Words, with the word each follows, whose documents are nearly those of another word, as the words of one stock phrase are: their
     combinations would be as frequent as the phrase. Of (word, count, least document hashes), words that agree in all
     but one of the least hashes and in count within a fifth follow the first of them."""
-    out: set[str] = set()
-    first: dict[tuple[int, ...], list[tuple[int, str]]] = {}
+    out: dict[int, int] = {}
+    first: dict[tuple[int, ...], list[tuple[int, int]]] = {}
     for word, n, low in sorted(rows, key=lambda r: (-r[1], r[0])):
         keys = [(skip, *low[:skip], *low[skip + 1 :]) for skip in range(len(low))]
-        if any(m * 0.8 <= n for k in keys for m, _ in first.get(k, ())):
-            out.add(word)
+        lead = next((w for k in keys for m, w in first.get(k, ()) if m * 0.8 <= n), None)
+        if lead is not None:
+            out[word] = lead
             continue
         for k in keys:
             first.setdefault(k, []).append((n, word))
     return out
 
 
+def _picks(c: int, k: int) -> Iterator[np.ndarray]:
+    """All k-subsets of c places, a piece at a time."""
+    held = combinations(range(c), k)
+    while part := list(islice(held, PIECE // max(1, k))):
+        yield np.array(part, np.int64)
+
+
 class Classes:
-    """Class and slot of every word. ``frequent`` holds document counts; all other words are of the rarest class."""
+    """Class and slot of every word, and the prefixes and signatures of texts by them."""
 
-    def __init__(self, frequent: dict[str, int], followers: Iterable[str], texts: int, share: float, least: int, exhaustive: bool, posting: float, group: float):
+    def __init__(self, table: np.ndarray, slots: np.ndarray, skipped: np.ndarray, leads: np.ndarray, share: float, least: int, widest: int):
+        order = np.argsort(skipped)
+        self.table, self.slots, self.skipped, self.leads, self.widest = table, slots, skipped[order], leads[order], widest
         self.tau_from = needed(share, least)
-        n = max(texts, 2)
-        bound = {k: min(1.0, (posting / n) ** (1 / k)) for k in range(2, 41)}
-        self.known: dict[str, tuple[int, int, int]] = {}
-        widths: dict[int, float] = {}
-        classes: dict[str, int] = {}
-        for w, c in frequent.items():
-            k = next((k for k in range(2, 41) if c / n <= bound[k]), 40)
-            classes[w] = k
-            widths[k] = widths.get(k, 0.0) + c / n
-        self.widest = 40 if exhaustive else WIDEST
-        slots = {k: max(1, round(w / group)) for k, w in widths.items()}
-        for w, k in classes.items():
-            h = _hash(w)
-            self.known[w] = (k, h % slots[k], h)
-        self.known |= dict.fromkeys(followers, (SKIPPED, 0, 0))
-        self.fixed = len(self.known)
         self.rows: dict[tuple[int, int], np.ndarray] = {}
 
-    def place(self, word: str) -> tuple[int, int, int]:
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) > self.fixed + (1 << 20):
-                self.known = dict(list(self.known.items())[: self.fixed])
-            got = self.known[word] = (2, 0, _hash(word))
-        return got
-
-    def combos(self, c: int, k: int) -> np.ndarray:
-        got = self.rows.get((c, k))
-        if got is None:
-            got = np.array(list(combinations(range(c), k)), np.int64).reshape(-1, k)
-            if got.size < 100_000:
-                self.rows[c, k] = got
-        return got
-
-    def prefix(self, words: Iterable[str]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]], bool]:
-        """Placed words in order, ranges of them that combine, and whether the prefix reaches the bound."""
-        placed = sorted(map(self.place, words))
-        parts = []
-        want = len(placed) - self.tau_from + 1  # differing words that can be, and one
-        # (words left out take nothing from this: no more of the words used differ than of all)
-        have, i, n = 0, 0, len(placed)
-        while i < n and have < want:
-            k, slot, _ = placed[i]
-            if k > self.widest:
-                break
-            j = i
-            while j < n and placed[j][0] == k and placed[j][1] == slot and have + max(0, j - i - k + 1) < want:
-                j += 1
-            if j - i >= k:
-                have += j - i - k + 1
-                parts.append((i, j))
-            while j < n and placed[j][0] == k and placed[j][1] == slot:
-                j += 1
-            i = j
-        return placed, parts, have >= want
-
-    def signatures(self, words: Iterable[str]) -> Iterator[np.ndarray]:
-        """Hashed combinations of the prefix of a word set."""
-        placed, parts, _ = self.prefix(words)
-        for i, j in parts:
-            k, slot, _ = placed[i]
-            c = j - i
-            h = _mix(np.array([p[2] for p in placed[i:j]], np.uint64))
-            tag = np.uint64(k * 1_000_003 + slot)
-            if comb(c, k) <= 200_000:
-                yield _mix(h[self.combos(c, k)].sum(1) ^ tag)
+    def follow(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which words follow another, and which word each of those follows."""
+        at = np.minimum(np.searchsorted(self.skipped, words), len(self.skipped) - 1)
+        hit = self.skipped[at] == words
+        return hit, self.leads[at[hit]]
+
+    def phrases(self, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(leading word, text) of every phrase that makes up half of a text's words or more."""
+        hit, lead = self.follow(words)
+        of = np.repeat(np.arange(len(sizes)), sizes)[hit]
+        pairs, count = np.unique(np.stack([of.astype(np.uint64), lead]), axis=1, return_counts=True)
+        long = 2 * (count + 1) >= sizes[pairs[0].astype(np.int64)]
+        return pairs[1][long], pairs[0][long].astype(np.int64)
+
+    def parts(self, words: np.ndarray, sizes: np.ndarray):
+        """Of texts laid end to end: words in prefix order, and of every part that combines its text, class, slot, first word
+        and length; last, which texts' prefixes reach the bound."""
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        k = self.table[(words % np.uint64(BUCKETS)).astype(np.int64)].astype(np.int64)
+        if len(self.skipped):
+            k[self.follow(words)[0]] = SKIPPED
+        slot = ((words >> np.uint64(32)) % self.slots[k].astype(np.uint64)).astype(np.int64)
+        order = np.lexsort((words, slot, k, doc))
+        words, doc, k, slot = words[order], doc[order], k[order], slot[order]
+        new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (k[1:] != k[:-1]) | (slot[1:] != slot[:-1])]) if len(doc) else np.zeros(0, np.int64)
+        c = np.diff(np.r_[new, len(doc)])
+        of, kind, place = doc[new], k[new], slot[new]
+        units = np.where((kind <= self.widest) & (c >= kind), c - kind + 1, 0)
+        want = sizes - self.tau_from + 1  # differing words that can be, and one
+        total = np.cumsum(units)
+        before = np.concatenate([[0], total])[np.searchsorted(of, np.arange(len(sizes)))] if len(of) else np.zeros(len(sizes), np.int64)
+        have = total - units - before[of] if len(of) else total
+        used = (units > 0) & (have < want[of])
+        length = np.minimum(c, kind - 1 + want[of] - have)
+        reached = np.zeros(len(sizes), bool)
+        if len(of):
+            reached[of[used & (have + units >= want[of])]] = True
+        return words, of[used], kind[used], place[used], new[used], length[used], reached
+
+    def signatures(self, words: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(signatures, texts): hashed combinations of the prefixes, and the leading words of long phrases."""
+        if len(self.skipped):
+            lead, of = self.phrases(words, sizes)
+            yield _mix(lead ^ np.uint64(0x5851F42D4C957F2D)), of
+        words, of, kind, place, first, length, _ = self.parts(words, sizes)
+        hashed = _mix(words)
+        shapes = length * 64 + kind
+        for shape in np.unique(shapes):
+            c, k = divmod(int(shape), 64)
+            mine = np.flatnonzero(shapes == shape)
+            tag = (kind[mine] * 1_000_003 + place[mine]).astype(np.uint64)[:, None]
+            if comb(c, k) <= PIECE:
+                if (c, k) not in self.rows:
+                    self.rows[c, k] = np.array(list(combinations(range(c), k)), np.int64).reshape(-1, k)
+                pieces: Iterable[np.ndarray] = (self.rows[c, k],)
             else:  # a very long text: the same in pieces
-                for first in range(c - k + 1):
-                    rest = h[first + 1 :]
-                    for part in _pieces(len(rest), k - 1):
-                        yield _mix((h[first] + rest[part].sum(1)) ^ tag)
-
-
-def _pieces(n: int, k: int, size: int = 50_000) -> Iterator[np.ndarray]:
-    held = []
-    for x in combinations(range(n), k):
-        held.append(x)
-        if len(held) == size:
-            yield np.array(held, np.int64)
-            held = []
-    if held:
-        yield np.array(held, np.int64)
-
-
-def _sets(batch: pa.RecordBatch, least: int) -> Iterator[tuple[int, int, list[str]]]:
-    """(row, hash of the set, words) of texts with at least ``least`` distinct words."""
-    for i, text in enumerate(batch.column(1).to_pylist()):
-        words = set(_WORD.findall(text.lower()))
-        if len(words) >= least:
-            ordered = sorted(words)
-            yield i, _hash("\0".join(ordered)), ordered
+                pieces = _picks(c, k)
+            for pick in pieces:
+                step = max(1, PIECE // len(pick))
+                for i in range(0, len(mine), step):
+                    at = mine[i : i + step]
+                    h = hashed[first[at][:, None] + np.arange(c)]
+                    yield _mix(h[:, pick].sum(2) ^ tag[i : i + step]).ravel(), np.repeat(of[at], len(pick))
 
 
 def _long_enough(df: DataFrame, key: str, text: str, least: int) -> DataFrame:
@@ -194,72 +183,101 @@ def _long_enough(df: DataFrame, key: str, text: str, least: int) -> DataFrame:
     return spread(df.select(F.col(f"`{key}`").alias("key"), t.alias("text")).filter(F.col("key").isNotNull() & (F.length("text") >= 2 * least - 1)))
 
 
-def members(df: DataFrame, key: str, text: str, least: int = LEAST) -> DataFrame:
-    """(key, doc): the word-set class of every text that can have links."""
+def word_sets(df: DataFrame, key: str, text: str, least: int = LEAST) -> DataFrame:
+    """(key, doc, words): of every text that can have links its word-set class and, where the class is met first in a task, the
+    sorted hashes of its words; null where it was met before."""
     kind = df.schema[key].dataType.simpleString()
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        seen: set[int] = set()
         for b in batches:
-            got = [(i, h) for i, h, _ in _sets(b, least)]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([g[0] for g in got], pa.int64())), _signed(np.array([g[1] for g in got], np.uint64))], ["key", "doc"])
+            at, docs, sets = [], [], []
+            for i, text in enumerate(b.column(1).to_pylist()):
+                words = set(_WORD.findall(text.lower()))
+                if len(words) < least:
+                    continue
+                if len(known) > 1 << 20:
+                    known.clear()
+                hashes = []
+                for w in words:
+                    h = known.get(w)
+                    if h is None:
+                        h = known[w] = xxhash.xxh64_intdigest(w)
+                    hashes.append(h)
+                packed = np.sort(np.array(hashes, np.uint64)).tobytes()
+                doc = xxhash.xxh64_intdigest(packed)
+                at.append(i)
+                docs.append(doc)
+                sets.append(None if doc in seen else packed)
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                seen.add(doc)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), _signed(np.array(docs, np.uint64)), pa.array(sets, pa.binary())], ["key", "doc", "words"])
 
-    return _long_enough(df, key, text, least).mapInArrow(scan, f"key {kind}, doc bigint").distinct()
+    return _long_enough(df, key, text, least).mapInArrow(scan, f"key {kind}, doc bigint, words binary")
 
 
-def _word_counts(rows: DataFrame, least: int) -> DataFrame:
-    """(word, n, m0..m3): documents and least document hashes of every word, combined map-side per batch; the row of the
-    empty word has the number of texts."""
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(words, sizes) of a column of packed sets."""
+    sets = column.to_pylist()
+    return np.frombuffer(b"".join(sets), np.uint64), np.array([len(x) // 8 for x in sets], np.int64)
+
+
+def _word_counts(uniq: DataFrame) -> DataFrame:
+    """(word, n, m0..m3): texts and least document hashes of every word, combined map-side per batch; the row of word 0 has
+    the number of texts and ``m0`` the number of their words."""
     names = [f"m{q}" for q in range(MINIMA)]
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids: dict[str, int] = {"": 0}
-            flat: list[int] = []
-            sizes: list[int] = []
-            docs: list[int] = []
-            for _, doc, words in _sets(b, least):
-                flat.append(0)
-                flat.extend([ids.setdefault(w, len(ids)) for w in words])
-                sizes.append(len(words) + 1)
-                docs.append(doc)
-            at, of = np.array(flat, np.int64), np.repeat(np.array(docs, np.uint64), np.array(sizes, np.int64))
+            words, sizes = _flat(b.column(1))
+            of = np.repeat(b.column(0).to_numpy().view(np.uint64), sizes)
+            ids, at = np.unique(words, return_inverse=True)
             low = []
             for q in range(MINIMA):
                 h = _mix(of ^ np.uint64(0xA0761D6478BD642F * (q + 1) % (1 << 64))).view(np.int64)
                 least_of = np.full(len(ids), np.iinfo(np.int64).max)
                 np.minimum.at(least_of, at, h)
                 low.append(pa.array(least_of))
-            yield pa.RecordBatch.from_arrays([pa.array(list(ids), pa.string()), pa.array(np.bincount(at, minlength=len(ids))), *low], ["word", "n", *names])
+            yield pa.RecordBatch.from_arrays([_signed(ids), pa.array(np.bincount(at, minlength=len(ids)).astype(np.int64)), *low], ["word", "n", *names])
 
-    counted = rows.select("key", "text").mapInArrow(scan, "word string, n bigint, " + ", ".join(f"{m} bigint" for m in names))
+    counted = uniq.select("doc", "words").mapInArrow(scan, "word bigint, n bigint, " + ", ".join(f"{m} bigint" for m in names))
     return counted.groupBy("word").agg(F.sum("n").alias("n"), *[F.min(m).alias(m) for m in names])
 
 
-def _signature_rows(rows: DataFrame, make, least: int) -> DataFrame:
-    """(sig, doc) of every word-set class; a class met again in the same task is not indexed again."""
+def _classes(uniq: DataFrame, share: float, least: int, exhaustive: bool, posting: float, group: float) -> Classes:
+    """Classes from the document frequencies of all texts."""
+    counts = cut_lineage(_word_counts(uniq))
+    texts = max(2, uniq.count())
+    bound = np.array([0.0, 0.0] + [min(1.0, (posting / texts) ** (1 / k)) for k in range(2, 41)])
+    common = counts.filter(F.col("n") > PHRASE * texts).filter(F.col("n") > ONE).collect()
+    follow = followers((r["word"], r["n"], tuple(r[f"m{q}"] for q in range(MINIMA))) for r in common if r["n"] / texts > bound[2])
+    bucket = F.col("word").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")  # BUCKETS is a power of two
+    held = counts.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n")).filter(F.col("n") > ONE).toArrow()
+    b, n = held.column("b").to_numpy(), held.column("n").to_numpy()
+    table = np.ones(BUCKETS, np.uint8)
+    kinds = np.minimum(2 + np.searchsorted(bound[2:], n / texts - 1e-12), 40)
+    table[b] = kinds
+    widths = np.bincount(kinds, weights=n / texts, minlength=256) if len(n) else np.zeros(256)
+    slots = np.maximum(1, np.round(widths / group)).astype(np.int64)
+    return Classes(table, slots, np.array(list(follow), np.int64).view(np.uint64), np.array(list(follow.values()), np.int64).view(np.uint64), share, least, 40 if exhaustive else int(2 + np.searchsorted(bound[2:], min(REACH, bound[-1]))))
+
+
+def _signature_rows(uniq: DataFrame, sent) -> DataFrame:
+    """(sig, doc) of every word-set class."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = make()
-        seen: set[int] = set()
-        for b in batches:
-            sigs, docs, size = [], [], 0
-            for _, doc, words in _sets(b, least):
-                if doc in seen:
-                    continue
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                seen.add(doc)
-                for s in classes.signatures(words):
-                    sigs.append(s)
-                    docs.append(np.full(len(s), doc, np.uint64))
-                    size += len(s)
-                    if size > 200_000:
-                        yield pa.RecordBatch.from_arrays([_signed(np.concatenate(sigs)), _signed(np.concatenate(docs))], ["sig", "doc"])
-                        sigs, docs, size = [], [], 0
-            if size:
-                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(sigs)), _signed(np.concatenate(docs))], ["sig", "doc"])
+        classes = sent.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                b = whole.slice(at, 1000)
+                words, sizes = _flat(b.column(1))
+                docs = b.column(0).to_numpy()
+                for sigs, of in classes.signatures(words, sizes):
+                    yield pa.RecordBatch.from_arrays([_signed(sigs), pa.array(docs[of])], ["sig", "doc"])
 
-    return rows.mapInArrow(scan, "sig bigint, doc bigint")
+    return uniq.select("doc", "words").mapInArrow(scan, "sig bigint, doc bigint")
 
 
 def _pairs_of_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,39 +338,24 @@ BITS = 16  # words of 64 bits in a sketch
 FOLD = 4  # and in its first, coarser form
 
 
-def _sketches(rows: DataFrame, make, least: int) -> DataFrame:
+def _sketches(uniq: DataFrame, sent) -> DataFrame:
     """(doc, n, reached, s0..s15) of every word-set class: number of words, whether its prefix reaches the bound, and a
     bitmap of hashed words that bounds overlaps from above."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = make()
-        place: dict[str, int] = {}
-        seen: set[int] = set()
-        for b in batches:
-            docs, sizes, reached, maps = [], [], [], []
-            if len(place) > 1 << 20:
-                place.clear()
-            for _, doc, words in _sets(b, least):
-                if doc in seen:
-                    continue
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                seen.add(doc)
-                reached.append(classes.prefix(words)[2])
-                bits = 0
-                for w in words:
-                    at = place.get(w)
-                    if at is None:
-                        at = place[w] = 1 << (_hash("s" + w) % (64 * BITS))
-                    bits |= at
-                docs.append(doc)
-                sizes.append(len(words))
-                maps.append(bits.to_bytes(8 * BITS, "little"))
-            table = np.frombuffer(b"".join(maps), np.uint64).reshape(-1, BITS)
-            yield pa.RecordBatch.from_arrays([_signed(np.array(docs, np.uint64)), pa.array(sizes, pa.int32()), pa.array(reached, pa.bool_()), *(_signed(table[:, i]) for i in range(BITS))], ["doc", "n", "reached", *(f"s{i}" for i in range(BITS))])
+        classes = sent.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000):
+                b = whole.slice(at, 2000)
+                words, sizes = _flat(b.column(1))
+                bits = np.zeros((len(sizes), 64 * BITS), np.uint8)
+                bits[np.repeat(np.arange(len(sizes)), sizes), (_mix(words) % np.uint64(64 * BITS)).astype(np.int64)] = 1
+                table = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+                reached = classes.parts(words, sizes)[-1]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes.astype(np.int32)), pa.array(reached), *(_signed(np.ascontiguousarray(table[:, i])) for i in range(BITS))], ["doc", "n", "reached", *(f"s{i}" for i in range(BITS))])
 
     schema = "doc bigint, n int, reached boolean, " + ", ".join(f"s{i} bigint" for i in range(BITS))
-    return rows.mapInArrow(scan, schema).dropDuplicates(["doc"])
+    return uniq.select("doc", "words").mapInArrow(scan, schema).dropDuplicates(["doc"])
 
 
 def _near(x: np.ndarray, y: np.ndarray | None, nx: np.ndarray, ny: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -424,10 +427,10 @@ def _compared(sketch: DataFrame, texts: int, share: float) -> DataFrame:
     return cells.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _indexed(rows: DataFrame, make, least: int, sketch: DataFrame, share: float) -> DataFrame:
+def _indexed(uniq: DataFrame, sent, sketch: DataFrame, share: float) -> DataFrame:
     """(a, b), a < b: pairs that share a signature and that the bitmaps don't rule out; every link of a text that reaches
     the bound is among them, as of two texts the one whose prefix ends first has all its combinations met by the other."""
-    sigs = _signature_rows(rows, make, least)
+    sigs = _signature_rows(uniq, sent)
     runs = sigs.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_pairs_of_runs, "a bigint, b bigint, sig bigint, size bigint")
     runs = cut_lineage(runs)
     light = runs.filter(F.col("b").isNotNull()).select("a", "b")
@@ -447,54 +450,38 @@ def _indexed(rows: DataFrame, make, least: int, sketch: DataFrame, share: float)
     return both.filter(most >= share * F.least("na", "nb") - 1e-9).select("a", "b")
 
 
-def class_links(df: DataFrame, key: str, text: str, *, share: float = SHARE, least: int = LEAST, exhaustive: bool = False, posting: float = POSTING, group: float = GROUP) -> DataFrame:
-    """(a, b), a < b: linked word-set classes."""
-    rows = _long_enough(df, key, text, least)
-    counts = cut_lineage(_word_counts(rows, least))
-    texts = sum(r["n"] for r in counts.filter(F.col("word") == "").collect())
-    floor = max((posting / max(texts, 2)) ** 0.5, 1e-4) * texts
-    some = counts.filter((F.col("word") != "") & (F.col("n") > max(5, floor / 4))).collect()
-    follow = followers((r["word"], r["n"], tuple(r[f"m{q}"] for q in range(MINIMA))) for r in some)
-    frequent = {r["word"]: r["n"] for r in some if r["n"] > floor and r["word"] not in follow}
-    sent = df.sparkSession.sparkContext.broadcast((frequent, follow))
-    args = (texts, share, least, exhaustive, posting, group)
-    make = lambda: Classes(*sent.value, *args)
-    sketch = cut_lineage(_sketches(rows, make, least))
-    total, short = sketch.agg(F.count(F.lit(1)), F.count_if(~F.col("reached"))).first()
-    if 2 * short > total:
-        likely = cut_lineage(_compared(sketch, total, share))
-    else:
-        likely = _indexed(rows, make, least, sketch, share)
-        if short:
-            likely = likely.unionByName(_compared(sketch.filter(~F.col("reached")), short, share)).distinct()
-        likely = cut_lineage(likely)
+def class_links(sets: DataFrame, *, share: float = SHARE, least: int = LEAST, exhaustive: bool = False, complete: bool = True, posting: float = POSTING, group: float = GROUP) -> DataFrame:
+    """(a, b), a < b: linked word-set classes of ``word_sets``."""
+    uniq = sets.filter(F.col("words").isNotNull()).select("doc", "words")
+    sent = sets.sparkSession.sparkContext.broadcast(_classes(uniq, share, least, exhaustive, posting, group))
+    sketch = cut_lineage(_sketches(uniq, sent))
+    likely = _indexed(uniq, sent, sketch, share)
+    if complete:
+        rest = sketch.filter(~F.col("reached"))
+        likely = likely.unionByName(_compared(rest, rest.count(), share)).distinct()
+    likely = cut_lineage(likely)
 
     wanted = likely.select(F.col("a").alias("doc")).unionByName(likely.select(F.col("b").alias("doc"))).distinct()
-
-    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            got = [(i, h) for i, h, _ in _sets(x, least)]
-            yield pa.RecordBatch.from_arrays([_signed(np.array([g[1] for g in got], np.uint64)), x.column(1).take(pa.array([g[0] for g in got], pa.int64()))], ["doc", "text"])
-
-    texts_of = rows.mapInArrow(keyed, "doc bigint, text string").join(wanted, "doc", "left_semi").dropDuplicates(["doc"])
-    pairs = likely.join(texts_of.select(F.col("doc").alias("a"), F.col("text").alias("ta")), "a").join(texts_of.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b")
+    words = uniq.join(wanted, "doc", "left_semi").dropDuplicates(["doc"])
+    pairs = likely.join(words.select(F.col("doc").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("doc").alias("b"), F.col("words").alias("wb")), "b")
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            keep = []
-            for s, t in zip(x.column(2).to_pylist(), x.column(3).to_pylist()):
-                u, v = set(_WORD.findall(s.lower())), set(_WORD.findall(t.lower()))
-                keep.append(len(u & v) >= share * min(len(u), len(v)) - 1e-9)
-            yield pa.RecordBatch.from_arrays([x.column(0).filter(pa.array(keep, pa.bool_())), x.column(1).filter(pa.array(keep, pa.bool_()))], ["a", "b"])
+            keep = np.zeros(x.num_rows, bool)
+            for i, (s, t) in enumerate(zip(x.column(2).to_pylist(), x.column(3).to_pylist())):
+                u, v = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+                keep[i] = len(np.intersect1d(u, v, assume_unique=True)) >= share * min(len(u), len(v)) - 1e-9
+            yield pa.RecordBatch.from_arrays([x.column(0).filter(pa.array(keep)), x.column(1).filter(pa.array(keep))], ["a", "b"])
 
-    return pairs.select("a", "b", "ta", "tb").mapInArrow(verify, "a bigint, b bigint")
+    return pairs.select("a", "b", "wa", "wb").mapInArrow(verify, "a bigint, b bigint")
 
 
 def linked_pairs(df: DataFrame, key: str, text: str, **how) -> DataFrame:
     """(key_a, key_b), a < b: all linked pairs of keys, those of one word-set class among them."""
-    of = cut_lineage(members(df, key, text, how.get("least", LEAST)))
+    sets = cut_lineage(word_sets(df, key, text, how.get("least", LEAST)))
+    of = sets.select("key", "doc").distinct()
     a, b = of.select(F.col("key").alias("key_a"), F.col("doc").alias("a")), of.select(F.col("key").alias("key_b"), F.col("doc").alias("b"))
-    between = class_links(df, key, text, **how).join(a, "a").join(b, "b").select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
+    between = class_links(sets, **how).join(a, "a").join(b, "b").select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
     several = of.groupBy("doc").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("doc")
     some = of.join(several, "doc")
     within = some.select("doc", F.col("key").alias("key_a")).join(some.select("doc", F.col("key").alias("key_b")), "doc").filter(F.col("key_a") < F.col("key_b")).select("key_a", "key_b")
@@ -531,9 +518,9 @@ def components(edges: DataFrame) -> DataFrame:
 def groups(df: DataFrame, key: str, text: str, **how) -> DataFrame:
     """One row per distinct key: ``key``, ``group_id`` (least key of its group; its own if it has no link) and ``links``,
     the number of other texts it is linked with, copies counted."""
-    least = how.get("least", LEAST)
-    of = cut_lineage(members(df, key, text, least))
-    links = cut_lineage(class_links(df, key, text, **how))
+    sets = cut_lineage(word_sets(df, key, text, how.get("least", LEAST)))
+    of = sets.select("key", "doc").distinct()
+    links = cut_lineage(class_links(sets, **how))
     sizes = of.groupBy("doc").agg(F.count(F.lit(1)).alias("c"), F.min("key").alias("first"))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     outside = both.join(sizes.select(F.col("doc").alias("b"), "c"), "b").groupBy(F.col("a").alias("doc")).agg(F.sum("c").alias("outside"))
