@@ -11,12 +11,12 @@ from tidemark.sources.tables import load
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return pii.find_pii(load(spark, d, "yelp_review"), "review_id", "text")
+    return pii.find_pii(load(spark, d, "yelp_review"), "review_id", "text", pii.given_names(load(spark, d, "yelp_user"), "name"))
 
 
 def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
     """Every delivery of a review with typed placeholders in its text."""
-    return spread(load(spark, d, "yelp_review").select("row_id", "review_id", "text")).select("row_id", "review_id", pii.redact(F.col("text")).alias("text"))
+    return spread(load(spark, d, "yelp_review").select("row_id", "review_id", "text")).select("row_id", "review_id", pii.redact(F.col("text"), pii.given_names(load(spark, d, "yelp_user"), "name")).alias("text"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
