@@ -4,8 +4,8 @@ Each document gets the statistics of ``STATS``. Per language, mean and covarianc
 robustly over all documents: from coordinate-wise medians and absolute deviations, then twice from the
 documents within a chi-square distance of the estimate before, as one grouped aggregate each. A document's
 Mahalanobis distance to its language's prose is the sum of one contribution per statistic. A document is
-an outlier beyond ``LIMIT``; the structural statistics then tell a list, a table or junk, and an outlier in
-which none of them prevails stays prose (text that is merely unusual).
+an outlier beyond ``LIMIT``; the contributions then tell a list, a table or junk (``kind_of``), and an outlier to
+which none of the telling statistics contributes stays prose (text that is merely unusual).
 
 The language is that of the common words it uses most, else that of its label (``EN``, ``en-XX`` and ``en``
 are one), else the largest. Null, empty and blank texts have all statistics 0 and are no case. Whole texts
@@ -30,9 +30,10 @@ STATS = (
     "log_words", "mean_word_length", "symbol_ratio", "digit_ratio", "ended_lines", "common_words", "words_per_line",
     "item_share", "cell_share", "odd_words", "cycle_share", "inner_capitals",
 )
-LIMIT = 60.0  # squared distance of an outlier; the 0.999 quantile of chi-square with 12 degrees is 32.9
+LIMIT = 60.0  # squared distance of an outlier, about twice the quantile below, as statistics of texts have wide tails
+WORDS = 32.9  # the 0.999 quantile of chi-square with 12 degrees: what words that are none contribute to nonsense
 TRIM = 26.2  # the 0.99 quantile, for the trimmed estimates
-FLOOR = {"log_words": 0.3, "mean_word_length": 0.3, "words_per_line": 0.5}  # least standard deviations
+FLOOR = {"log_words": 0.3, "mean_word_length": 0.06, "words_per_line": 0.5}  # least standard deviations
 FLOOR_ELSE = 0.04
 
 _WORD = re.compile(r"[^\W_]+(?:['’\-][^\W_]+)*")
@@ -41,7 +42,7 @@ _PARTS = re.compile(r"[,;•·/]|\band\b")
 _BULLET = re.compile(r"\s*(?:[-–—*•·»›+◦‣▪]|\[[ xX]?\]|\(?\d{1,3}[.)]|\(?[A-Za-z][.)]|#\d+)\s+\S")
 _CELLS = re.compile(r"\s*\|\s*|\t+|\s*;\s*|(?<=\S)(?: {2,})(?=\S)")
 _LEADER = re.compile(r"\S\s*(?:\.{3,}|…|_{3,}|-{3,})\s*\S+\s*$")
-_ODD = re.compile(r"(?i)[bcdfghjklmnpqrstvwxz]{5}|^[bcdfghjklmnpqrstvwxz]{4,}$|[aeiou]{4}|^.{25,}$|\d[^\W\d]+\d|[^\W\d]\d+[^\W\d]|q[^u]|[jvwxz][jqvxz]|[vwxj]$")
+_ODD = re.compile(r"(?i)[bcdfghjklmnpqrstvwxz]{5}|^[bcdfghjklmnpqrstvwxz]{4,}$|[aeiou]{4}|^.{25,}$|\d[^\W\d]+\d|[^\W\d]\d+[^\W\d]|q[^u]|[jvwxz][jqvxz]|\w[vwxj]$")
 _INNER = re.compile(r"[a-zß-ÿ][A-Z]|\d[A-Z]|[A-Z]{2}[a-z]")
 
 
@@ -74,27 +75,28 @@ def _period(words: list[str]) -> float:
 
 
 def _cycle(words: list[str]) -> float:
-    """Share of words equal to the word one period before, for the best of the first periods found, which
-    are at most half the text. Where any period of at most half the text holds for more than half of the words, the
-    best one counts, of whatever length and wherever it begins."""
+    """Share of words equal to the word one period before, for the best period of at most half the text, of whatever length
+    and wherever it begins; 0 where none holds for more than half of the words."""
     n = len(words)
-    if n < 6:
-        return 0.0
-    best = 0.0
-    for start in {0, n // 3}:
-        head, found = words[start], 0
-        for j in range(start + 1, min(n - 2, start + min(400, n // 2) + 1)):
-            if words[j] == head and words[j + 1] == words[start + 1]:
-                p = j - start
-                best = max(best, sum(a == b for a, b in zip(words, words[p:])) / (n - p))
-                found += 1
-                if found == 4 or best > 0.95:
-                    break
     # a period that holds for more than half repeats more than a quarter of all words
-    if best <= 0.95 and 4 * len(set(words)) < 3 * n:
-        share = _period(words)
-        best = max(best, share) if share > 0.5 else best
-    return best
+    if n < 6 or 4 * len(set(words)) >= 3 * n:
+        return 0.0
+    share = _period(words)
+    return share if share > 0.5 else 0.0
+
+
+def _separated(lines: list[str]) -> tuple[str, int] | None:
+    """The separator that occurs equally often, at least twice, in most of at least three lines, and how often: rows of one
+    table. Commas and spaces apart, as in sentences, don't count: a field follows a comma without a space."""
+    best = None
+    if len(lines) >= 3:
+        for mark in (",", ";", "|", "\t", "="):
+            counts = Counter(x.count(mark) for x in lines)
+            n, lines_with = max(((c, k) for c, k in counts.items() if c >= 2), key=lambda x: x[1], default=(0, 0))
+            if 2 * lines_with > len(lines) and (mark != "," or 10 * sum(x.count(", ") for x in lines) <= sum(x.count(",") for x in lines)):
+                if best is None or lines_with > best[2]:
+                    best = (mark, n, lines_with)
+    return best and best[:2]
 
 
 def statistics(text: str | None, common: dict[str, frozenset[str]]) -> tuple[str | None, int, list[float]]:
@@ -120,9 +122,15 @@ def statistics(text: str | None, common: dict[str, frozenset[str]]) -> tuple[str
     letters = len(run) - sum(map(run.count, "'’-")) - digits
     items = cells = ended = 0
     weight = sum(sizes)
+    separated = _separated([body for body, found in lines if found])
     for (body, found), size in zip(lines, sizes):
         ended += body.rstrip("'\"”’»)]")[-1:] in _STOPS
-        if "|" in body or "\t" in body or ";" in body or "  " in body:
+        if not found:  # a line without a word is neither an item nor a row
+            continue
+        if separated and body.count(separated[0]) == separated[1] and size <= 6 * (separated[1] + 1):
+            cells += size
+            continue
+        if len(lines) > 1 and ("|" in body or "\t" in body or ";" in body or "  " in body):
             pieces = [p for p in _CELLS.split(body) if p.strip()]
             dense = len(pieces) >= 3 and size <= 6 * len(pieces)
             if (dense or (len(pieces) == 2 and ("|" in body or "\t" in body))) and sum(len(p.split()) <= 6 for p in pieces) >= 0.7 * len(pieces):
@@ -137,18 +145,18 @@ def statistics(text: str | None, common: dict[str, frozenset[str]]) -> tuple[str
                 short = sum(len(p.split()) <= 5 for p in parts)
                 if len(parts) >= 5 and short >= 0.8 * len(parts):
                     items += size
-        elif len(lines) >= 4 and size <= 8 and sum(any(w in ws for ws in common.values()) for w in found) <= 0.25 * len(found):
+        elif len(lines) >= 4 and size <= 8 and body[-1] not in _STOPS and sum(any(w in ws for ws in common.values()) for w in found) <= 0.25 * len(found):
             items += size
     odd = sum(c for w, c in counts.items() if _is_odd(w))
     inner = len(_INNER.findall(text))
     values = [
         math.log1p(n),
-        min(25.0, sum(map(len, words)) / max(1, n)),
+        math.log1p(sum(map(len, words)) / max(1, n)),
         (visible - letters - digits) / max(1, visible),
         digits / max(1, visible),
         ended / len(lines),
         share,
-        min(6.0, math.log1p(sorted(sizes)[len(sizes) // 2])),
+        math.log1p(sorted(sizes)[len(sizes) // 2]),
         items / weight,
         cells / weight,
         odd / max(1, n),
@@ -206,7 +214,8 @@ def _with_distance(stats: DataFrame, model: dict[str, tuple[np.ndarray, np.ndarr
 
 
 def _model(rows: list, k: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Mean and inverse covariance per language from sums of values and products."""
+    """Mean and inverse covariance per language from sums of values and products. The least deviations keep the covariance
+    regular for any number of documents."""
     floor = np.array([FLOOR.get(s, FLOOR_ELSE) for s in STATS]) ** 2
     out = {}
     for r in rows:
@@ -236,20 +245,37 @@ def prose_model(stats: DataFrame, steps: int = 2) -> dict[str, tuple[np.ndarray,
             F.array(*[F.sum(s) for s in STATS]).alias("s"),
             F.array(*[F.sum(F.col(STATS[i]) * F.col(STATS[j])) for i, j in zip(*np.triu_indices(k))]).alias("q"),
         )
-        model |= _model([r for r in sums.collect() if r["n"] >= 20], k)
+        model |= _model(sums.collect(), k)
     return model
 
 
+NONSENSE = ("odd_words", "inner_capitals", "mean_word_length")
+NOISE = ("symbol_ratio", "digit_ratio")
+REPEATED = 0.95  # share of words that repeat the word a period before, of one thing over and over
+
+
 def kind_of(limit: float = LIMIT) -> Column:
-    """list, table, junk or prose, of a row with statistics and distance."""
-    nonsense = (F.col("odd_words") > 0.12) & (F.col("common_words") < 0.3)
-    noise = (F.col("symbol_ratio") > 0.2) | (F.col("digit_ratio") > 0.3) | (F.col("inner_capitals") > 0.3)
+    """list, table, junk or prose, of a row with statistics, distance and contributions.
+
+    Of an outlier the contributions say what sets it apart from its language's prose. Words that are none, or one thing
+    over and over, make junk where their contributions alone pass the limit, whatever its form. Otherwise rows or
+    items, whichever contributes more, decide if they hold most of the text, as table and list are defined; else
+    junk if symbols and digits pass the limit by themselves. An outlier by nothing of this is prose of an unusual kind."""
+
+    def part(name: str) -> Column:
+        return F.greatest(F.col("contribution")[STATS.index(name)], F.lit(0.0))
+
+    def total(names: tuple[str, ...]) -> Column:
+        return sum((part(n) for n in names[1:]), part(names[0]))
+
+    over = F.when(F.col("cycle_share") > REPEATED, part("cycle_share")).otherwise(0.0)
+    rows, items = part("cell_share"), part("item_share")
     return (
-        F.when((F.col("distance") <= limit), "prose")
-        .when((F.col("cycle_share") > 0.95) | (F.col("odd_words") > 0.3), "junk")
-        .when(F.col("cell_share") > 0.5, "table")
-        .when(F.col("item_share") > 0.5, "list")
-        .when(nonsense | noise | ((F.col("words") == 0) & (F.col("symbol_ratio") > 0)), "junk")
+        F.when(F.col("distance") <= limit, "prose")
+        .when((total(NONSENSE) > WORDS) | (over > limit), "junk")
+        .when((rows >= items) & (F.col("cell_share") > 0.5), "table")
+        .when((items >= rows) & (F.col("item_share") > 0.5), "list")
+        .when(total(NOISE) + total(NONSENSE) + over > limit, "junk")
         .otherwise("prose")
     )
 
