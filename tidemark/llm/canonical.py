@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import cut_lineage, spread
+
 UNMATCHED = -1
 ACCEPT = 0.86
 LEAST_SIM = 0.8625  # of tokens within reach, so that a value of one token is accepted wherever the reach allows
@@ -114,26 +116,28 @@ def map_to_reference(values: DataFrame, value: str, state: str, ref: DataFrame,
     """
     names = ref.select(F.col(ref_id).alias("entry"), F.col(ref_name).alias("name"), F.upper(F.trim(ref_state)).alias("entry_state")).dropna(subset=["entry", "name"])
     size = names.count()
-    codes = frozenset(r[0].lower() for r in names.select("entry_state").dropna().distinct().limit(1000).collect())
+    # codes of at most three letters, of which there are under 20 000 whatever the list
+    codes = frozenset(r[0].lower() for r in names.select("entry_state").filter(F.col("entry_state").rlike("^[A-Z]{1,3}$")).distinct().collect())
     tokens = _udf_tokens(codes)
 
-    entries = names.withColumn("toks", F.array_distinct(tokens("name")))
+    entries = cut_lineage(names.withColumn("toks", F.array_distinct(tokens("name"))))
     weight = F.log(F.lit(1.0 + size) / F.col("df")) + 0.2
-    spread = entries.select("entry", F.explode("toks").alias("tok"))
-    vocab = spread.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).select("tok", weight.alias("w"))
-    entry_tokens = spread.join(vocab, "tok")
+    flat = entries.select("entry", F.explode("toks").alias("tok"))
+    vocab = flat.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).select("tok", weight.alias("w"))
+    entry_tokens = flat.join(vocab, "tok")
     entry_weight = entry_tokens.groupBy("entry").agg(F.sum("w").alias("ew"), F.count(F.lit(1)).alias("en"))
     joined = entries.select("entry", F.concat_ws("", "toks").alias("joined"))
 
     text = F.col(f"`{value}`").cast("string")
-    given = values.filter(F.length(F.trim(text)) > 0).select(text.alias("value"), F.col(f"`{state}`").alias("state")).distinct()
+    given = cut_lineage(values.filter(F.length(F.trim(text)) > 0).select(text.alias("value"), F.col(f"`{state}`").alias("state")).distinct())
     cut = given.select("value", F.upper(F.regexp_extract(F.trim("value"), r"(?i)[\s,/(]([A-Z]{2})\)?(?:\s+\d+)?\s*$", 1)).alias("code")).distinct().withColumn("toks", F.array_distinct(tokens("value")))
-    cut = cut.withColumn("whole", F.concat_ws("", "toks"))
+    cut = cut_lineage(cut.withColumn("whole", F.concat_ws("", "toks")))
 
     # tokens within reach of the vocabulary, by shared deletion variants
     terms = F.broadcast(vocab) if size <= MAX_REFERENCE else vocab
     near_ref = terms.select(F.col("tok").alias("ref_tok"), "w", F.explode(_variants("tok")).alias("v"))
     own = cut.select(F.explode("toks").alias("tok")).distinct()
+    own = cut_lineage(own)
     repaired = _repair(own, near_ref.select("ref_tok", "v"), size).join(_sized(vocab.withColumnRenamed("tok", "ref_tok"), size), "ref_tok")
 
     # run-together values: the whole value against each entry's tokens joined
@@ -170,9 +174,19 @@ def map_to_reference(values: DataFrame, value: str, state: str, ref: DataFrame,
 
 
 def _repair(tokens: DataFrame, near_ref: DataFrame, size: int) -> DataFrame:
-    """(tok, ref_tok, sim) of all pairs within the allowed edits; the entries decide among them."""
-    pairs = tokens.withColumn("v", F.explode(_variants("tok"))).join(_sized(near_ref, size), "v").select("tok", "ref_tok").distinct()
-    measured = pairs.withColumn("edits", _edits("tok", "ref_tok"))
+    """(tok, ref_tok, sim) of all pairs within the allowed edits; the entries decide among them.
+
+    No pair is further apart in length than the edits allowed, so tokens longer than the longest reference by more than that make
+    no variants. Of the pairs that share a variant, the built-in edit distance, in which a transposition counts two, rules out
+    most before transpositions are weighed."""
+    longest_ref = near_ref.agg(F.coalesce(F.max(F.length("ref_tok")), F.lit(0)).alias("__longest"))
+    short = tokens.join(F.broadcast(longest_ref), F.length("tok") <= F.col("__longest") + 2).select("tok")
+    pairs = spread(short).withColumn("v", F.explode(_variants("tok"))).join(_sized(near_ref, size), "v").select("tok", "ref_tok").distinct()
+    reach = F.least(_reach(F.col("tok")), _reach(F.col("ref_tok")))
+    near = pairs.filter((F.abs(F.length("tok") - F.length("ref_tok")) <= reach) & (F.levenshtein("tok", "ref_tok") <= 2 * reach))
+    cores = tokens.sparkSession.sparkContext.defaultParallelism
+    measured = near.repartition(max(cores, int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")))).withColumn("edits", _edits("tok", "ref_tok"))
+    measured = cut_lineage(measured)
     allowed = F.least(_reach(F.col("tok")), _reach(F.col("ref_tok")))
     # a token that lost or gained letters is measured by the longer of the two
     longest = F.greatest(F.length("tok"), F.length("ref_tok"))
