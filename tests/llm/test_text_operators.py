@@ -79,6 +79,26 @@ def test_route_meets_quotas_and_caps():
     assert mixing.route({}, target) == {} and mixing.route(patterns, {"z": (1.0, 1)}) == {}
 
 
+def test_route_finds_the_largest_total():
+    """Two sources that share their texts: half of them each is the most."""
+    target = {"a": (0.5, 1), "b": (0.5, 1)}
+    got = mixing.route({("a", "b"): 10_000}, target)
+    assert sum(got.values()) >= 19_990 if sum(got.values()) > 10_000 else sum(got.values()) >= 9_990
+    by = mixing.route({("a", "b"): 900, ("a",): 100, ("b", "c"): 50}, target | {"c": (0.0, 1)})
+    a, b = (sum(v for (_, x), v in by.items() if x == s) for s in "ab")
+    assert abs(a - b) <= 2 and a + b > 900
+
+
+def test_many_patterns_are_folded(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 2)
+    rows = [(f"{s}{i}", f"text {i} of {g}", s) for g, n in (("a", 40), ("b", 30), ("ab", 20), ("bc", 10), ("abc", 5)) for i in range(n) for s in g]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.4, 1), ("c", 0.1, 2)], "source string, target_share double, max_repeat int")
+    got = mixing.select_mix(docs, "doc_id", "text", "source", targets)
+    share = {r["source"]: r["actual_share"] for r in mixing.shares(got, targets).collect()}
+    assert abs(share["a"] - 0.5) < 0.06 and abs(share["b"] - 0.4) < 0.06 and abs(share["c"] - 0.1) < 0.06
+
+
 def test_select_mix(spark):
     rs = random.Random(0)
     words = "soup bread table light warm cold river stone".split()
