@@ -76,13 +76,13 @@ def _period(words: list[str]) -> float:
 
 def _cycle(words: list[str]) -> float:
     """Share of words equal to the word one period before, for the best period of at most half the text, of whatever length
-    and wherever it begins; 0 where none holds for more than half of the words."""
+    and wherever it begins; 0 where none holds for four fifths of the words."""
     n = len(words)
-    # a period that holds for more than half repeats more than a quarter of all words
-    if n < 6 or 4 * len(set(words)) >= 3 * n:
+    # of n - p >= n / 2 words, such a period repeats three fifths together with the word after them
+    if n < 6 or len(set(zip(words, words[1:]))) > 0.7 * n + 1:
         return 0.0
     share = _period(words)
-    return share if share > 0.5 else 0.0
+    return share if share > 0.8 else 0.0
 
 
 def _separated(lines: list[str]) -> tuple[str, int] | None:
