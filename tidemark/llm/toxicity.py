@@ -150,16 +150,17 @@ class Model:
         return out
 
 
-def _fit(p, u, prior: float, epochs: int, rate: float, l2: float, floor: float) -> tuple[np.ndarray, float]:
-    """nnPU by full-batch Adagrad; ``p`` and ``u`` are (features, sentence of each token, number of sentences)."""
-    w, b = np.zeros(DIMENSIONS), -2.0
-    gw, gb = np.full(DIMENSIONS, 1e-8), 1e-8
+def _fit(p, u, prior: float, epochs: int, rate: float, l2: float, floor: float, size: int) -> tuple[np.ndarray, float]:
+    """nnPU by full-batch Adagrad over ``size`` features; ``p`` and ``u`` are (features, sentence of each token, number of
+    sentences)."""
+    w, b = np.zeros(size), -2.0
+    gw, gb = np.full(size, 1e-8), 1e-8
 
     def logits(x):
         return np.bincount(x[1], w[x[0]].sum(1), x[2]) + b
 
     def back(x, grad):
-        return np.bincount(x[0].ravel(), np.repeat(grad[x[1]], 4), DIMENSIONS), grad.sum()
+        return np.bincount(x[0].ravel(), np.repeat(grad[x[1]], 4), size), grad.sum()
 
     for _ in range(epochs):
         sp, su = 1 / (1 + np.exp(-logits(p))), 1 / (1 + np.exp(-logits(u)))
@@ -237,6 +238,10 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
     if not p[2] or not u[2]:
         return Model(np.zeros(DIMENSIONS), -10.0, 0.0)
     per_text = u[2] / len(np.unique(u_doc))
+    # only features that occur are fitted; 0 stays none
+    occur, place = np.unique(np.concatenate([[0], p[0].ravel(), u[0].ravel()]), return_inverse=True)
+    cut = 1 + p[0].size
+    p, u = (place[1:cut].reshape(-1, 4), *p[1:]), (place[cut:].reshape(-1, 4), *u[1:])
 
     def held_out(weight: float) -> tuple[np.ndarray, np.ndarray]:
         zp, zu = np.zeros(p[2]), np.zeros(u[2])
@@ -244,7 +249,7 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
             mine, other = (p_doc % 2 == fold, u_doc % 2 == fold), (p_doc % 2 != fold, u_doc % 2 != fold)
             if not all(x.any() for x in (*mine, *other)):
                 continue
-            model = _fit(_part(p, mine[0]), _part(u, mine[1]), weight / per_text, epochs, rate, l2, floor)
+            model = _fit(_part(p, mine[0]), _part(u, mine[1]), weight / per_text, epochs, rate, l2, floor, len(occur))
             zp[other[0]], zu[other[1]] = _logits(_part(p, other[0]), model), _logits(_part(u, other[1]), model)
         return zp, zu
 
@@ -264,11 +269,31 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
     weight = prior
     prior = min(share(*tp) for tp in judged)
     best = max(range(len(slacks)), key=lambda i: _balance(*judged[i], prior)[0])
-    w, b = _fit(p, u, slacks[best] * weight / per_text, epochs, rate, l2, floor)
+    fitted, b = _fit(p, u, slacks[best] * weight / per_text, epochs, rate, l2, floor, len(occur))
+    w = np.zeros(DIMENSIONS)
+    w[occur] = fitted
     # a text without any known feature scores the bias, which must stay below the threshold
     return Model(w, b - max(_balance(*judged[best], prior)[1], b + 1), prior)
 
 
+_HELD: dict[int, Model] = {}
+
+
+def trained(positive: list[str], unlabelled: list[str]) -> Model:
+    """``train``; the last models are held by a hash of what they were fitted to, as several queries need the same one."""
+    h = xxhash.xxh3_64()
+    for texts in (positive, unlabelled):
+        h.update(f"\0{len(texts)}\0".encode())
+        for t in texts:
+            h.update(t.encode("utf-8", "replace") + b"\0")
+    key = h.intdigest()
+    if key not in _HELD:
+        while len(_HELD) > 3:
+            _HELD.pop(next(iter(_HELD)))
+        _HELD[key] = train(positive, unlabelled)
+    return _HELD[key]
+
+
 def sample(texts: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, label: str) -> tuple[list[str], list[str]]:
     """(confirmed, unlabelled) texts of the bounded sample, from one scan.
 
