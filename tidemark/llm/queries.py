@@ -94,4 +94,14 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_unmatched, p7_found, p7_scores, p7_rates, p8_ids, p9_mix, p9_shares, p10_found, p10_stats)}
-SQL: dict[str, str] = {}
+_PAIRS = r"""t AS (SELECT DISTINCT review_id, text FROM yelp_review WHERE review_id IS NOT NULL AND text IS NOT NULL),
+    s AS (SELECT review_id, list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS ws FROM t), l AS (SELECT review_id, ws, len(ws) AS n FROM s WHERE len(ws) >= 60),
+    e AS (SELECT review_id, n, unnest(ws) AS w FROM l),
+    pairs AS (SELECT a.review_id AS review_id_a, b.review_id AS review_id_b FROM e a JOIN e b ON a.w = b.w AND a.review_id < b.review_id GROUP BY 1, 2, a.n, b.n HAVING count(*) >= 0.75 * least(a.n, b.n) - 1e-9)"""
+SQL: dict[str, str] = {
+    "p3_found": f"WITH {_PAIRS} SELECT DISTINCT review_id_a, review_id_b FROM pairs",
+    "p3_groups": f"""WITH RECURSIVE {_PAIRS}, ways AS (SELECT review_id_a AS x, review_id_b AS y FROM pairs UNION SELECT review_id_b, review_id_a FROM pairs),
+        r AS (SELECT x, y FROM ways UNION SELECT r.x, ways.y FROM r JOIN ways ON r.y = ways.x)
+        SELECT k.review_id, coalesce(g.least, k.review_id) AS group_id, coalesce(c.links, 0) AS links FROM (SELECT DISTINCT review_id FROM yelp_review WHERE review_id IS NOT NULL) k
+        LEFT JOIN (SELECT x, least(x, min(y)) AS least FROM r GROUP BY 1) g ON g.x = k.review_id LEFT JOIN (SELECT x, count(*) AS links FROM ways GROUP BY 1) c ON c.x = k.review_id""",
+}
