@@ -41,6 +41,8 @@ def test_transform(spark):
     assert [r["b"] for r in transform.map_values(df, "b", {"x": None, None: "n"}).collect()] == [None, "n"]
     assert [r["b"] for r in transform.map_values(df, "b", {"q": "r"}, default="d").collect()] == ["d", "d"]
     assert transform.keep_if(df, [F.col("c")]).count() == 1 and transform.keep_if(df, [lambda r: r["a"] == "y"]).count() == 1
+    some = transform.add_computed(df, {"n": (lambda r: len(r["a"] + r["b"]), "long"), "d": F.upper("b")}).collect()
+    assert [(r["n"], r["d"]) for r in some] == [(2, "X"), (None, None)]
     with pytest.raises(KeyError):
         transform.normalise_fields(df, {"zz": [F.upper]}, strict=True)
     with pytest.raises(ValueError):

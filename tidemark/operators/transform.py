@@ -9,6 +9,7 @@ from operator import and_
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def rename_fields(df: DataFrame, mapping: Mapping[str, str], drop_missing: bool = False) -> DataFrame:
@@ -34,9 +35,11 @@ def coerce_types(df: DataFrame, schema: Mapping[str, str], strict: bool = False)
     return df.withColumns({"_coerce_error": errors, **{c: F.col(f"`{c}`").try_cast(t) for c, t in there.items()}})
 
 
-def add_computed(df: DataFrame, computations: Mapping[str, Column]) -> DataFrame:
-    """All expressions see the record as it came, not one another's results."""
-    return df.withColumns(dict(computations))
+def add_computed(df: DataFrame, computations: Mapping[str, Column | tuple[Callable, str]]) -> DataFrame:
+    """All expressions see the record as it came, not one another's results. A Python callable goes with its type; it gets
+    the row as a dict, in Arrow batches (the slow path), and gives null where it fails."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.withColumns({n: c if isinstance(c, Column) else _called(c[0], c[1])(row) for n, c in computations.items()})
 
 
 def map_values(df: DataFrame, field: str, mapping: Mapping, default=None) -> DataFrame:
@@ -62,12 +65,26 @@ def normalise_fields(df: DataFrame, chains: Mapping[str, Sequence[Callable[[Colu
     return df.withColumns({c: reduce(lambda x, f: f(x), fs, F.col(f"`{c}`")) for c, fs in chains.items() if c not in absent})
 
 
-def _called(p: Callable):
-    @F.arrow_udf("boolean")
-    def check(rows: pa.Array) -> pa.Array:
-        return pa.array([bool(p(r)) for r in rows.to_pylist()], pa.bool_())
+def _called(f: Callable, kind: str = "boolean"):
+    """``f`` of rows as dicts, as an Arrow function. As a predicate its result is taken for true or false and its failures
+    are raised; as a computation they are null."""
 
-    return check
+    @F.arrow_udf(kind)
+    def call(rows: pa.Array) -> pa.Array:
+        if kind == "boolean":
+            return pa.array([bool(f(r)) for r in rows.to_pylist()], pa.bool_())
+        out = []
+        for r in rows.to_pylist():
+            try:
+                out.append(f(r))
+            except Exception:
+                out.append(None)
+        return pa.array(out, arrow_kind)
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    arrow_kind = to_arrow_type(T._parse_datatype_string(kind)) if kind != "boolean" else None
+    return call
 
 
 def keep_if(df: DataFrame, predicates: Sequence[Column | Callable]) -> DataFrame:
