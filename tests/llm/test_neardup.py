@@ -3,6 +3,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import neardup as N
 
@@ -60,14 +61,19 @@ def test_copies_blocks_and_groups(spark, monkeypatch):
     assert got == {k: (root(k), links[k]) for k in parent}
 
 
-def test_blockwise_pairs(spark):
-    rows = [(7, i, 60) for i in range(60)]
-    heavy = spark.createDataFrame(rows, "sig long, a long, size long")
-    N.BLOCK, old = 9, N.BLOCK
-    try:
-        assert {tuple(r) for r in N._blockwise(heavy).collect()} == set(combinations(range(60), 2))
-    finally:
-        N.BLOCK = old
+def test_blockwise_pairs(spark, monkeypatch):
+    """A long posting list in many blocks: all pairs that the bitmaps leave, each once."""
+    rows = corpus(5, 30)
+    sets = N.word_sets(spark.createDataFrame(rows, "key string, text string"), "key", "text", 15).filter("words is not null")
+    sent = spark.sparkContext.broadcast(N._classes(sets.select("doc", "words"), 0.75, 15, False, 0.2, 3.5))
+    sketch = N._sketches(sets, sent)
+    n = sketch.count()
+    heavy = sketch.select(F.lit(7).cast("long").alias("sig"), F.col("doc").alias("a"), F.lit(n).cast("long").alias("size"))
+    heavy = heavy.unionByName(heavy.limit(5).withColumn("sig", F.lit(8).cast("long")).withColumn("size", F.lit(5).cast("long")))
+    whole = {tuple(r) for r in N._blockwise(heavy, sketch, 0.75).collect()}
+    monkeypatch.setattr(N, "SIDE", 9)
+    split = N._blockwise(heavy, sketch, 0.75).collect()
+    assert len(split) == len(whole) and {tuple(r) for r in split} == whole and len(whole) >= 20
 
 
 def test_empty_and_components(spark):

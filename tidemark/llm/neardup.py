@@ -50,7 +50,8 @@ REACH = 0.1  # share of texts up to which words are indexed
 GROUP = 3.5  # mean number of a text's words of a class in one slot
 PHRASE = 1e-3  # share of texts over which words that come together are told
 BUCKETS = 1 << 21
-BLOCK = 200
+BLOCK = 200  # posting lists up to this length are paired as they are
+SIDE = 1000  # texts in one side of a block of a longer list
 CELL = 1 << 16  # texts in one side of a cell of the bitmap comparison
 PIECE = 1 << 18  # combinations made at once
 
@@ -322,18 +323,6 @@ def _pairs_of_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield from out(sig, doc)
 
 
-def _blockwise(heavy: DataFrame) -> DataFrame:
-    """Pairs of docs that share a frequent signature: docs go to ceil(size / BLOCK) blocks, and each pair of blocks
-    is one group of at most about two blocks."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    mine = heavy.select("sig", F.col("a").alias("doc"), blocks.alias("m")).withColumn("at", F.pmod(F.xxhash64("doc"), F.col("m")).cast("int"))
-    spread = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    spread = spread.select("sig", "doc", F.least("at", "other").alias("x"), F.greatest("at", "other").alias("y"), "at")
-    groups = spread.groupBy("sig", "x", "y").agg(F.collect_list(F.when(F.col("at") == F.col("x"), F.col("doc"))).alias("l"), F.collect_list(F.when(F.col("at") == F.col("y"), F.col("doc"))).alias("r"))
-    one = groups.select("l", "r").withColumn("p", F.explode("l")).withColumn("q", F.explode("r")).filter(F.col("p") != F.col("q"))
-    return one.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-
-
 BITS = 16  # words of 64 bits in a sketch
 FOLD = 4  # and in its first, coarser form
 
@@ -427,14 +416,54 @@ def _compared(sketch: DataFrame, texts: int, share: float) -> DataFrame:
     return cells.mapInArrow(compare, "a bigint, b bigint")
 
 
+def _blockwise(heavy: DataFrame, sketch: DataFrame, share: float) -> DataFrame:
+    """(a, b), a < b: pairs of docs that share a frequent signature and that their bitmaps don't rule out. Docs go to
+    ceil(size / SIDE) blocks; each pair of blocks is compared on its own, so no list is held whole and only pairs that may be
+    links come out."""
+    names = [f"s{i}" for i in range(BITS)]
+    blocks = F.ceil(F.col("size") / SIDE).cast("int")
+    mine = heavy.select("sig", F.col("a").alias("doc"), blocks.alias("m")).withColumn("at", F.pmod(F.xxhash64("doc"), F.col("m")).cast("int"))
+    dealt = mine.join(sketch.select("doc", "n", *names), "doc").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    cells = dealt.select("sig", F.least("at", "other").alias("x"), F.greatest("at", "other").alias("y"), (F.col("at") <= F.col("other")).alias("left"), "doc", "n", *names)
+    cells = cells.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
+
+    def pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        s = np.ascontiguousarray(np.stack([t.column(c).to_numpy() for c in names])).view(np.uint64)
+        doc, n = t.column("doc").to_numpy(), t.column("n").to_numpy().astype(np.int64)
+        if t.column("x")[0].as_py() == t.column("y")[0].as_py():
+            of, to, found = doc, doc, _near(s, None, n, n, share)
+        else:
+            left = t.column("left").to_numpy()
+            of, to, found = doc[left], doc[~left], _near(np.ascontiguousarray(s[:, left]), np.ascontiguousarray(s[:, ~left]), n[left], n[~left], share)
+        for p, q in found:
+            u, v = of[p], to[q]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            cell = np.stack([t.column(c).to_numpy() for c in ("sig", "x", "y")])
+            cuts = np.flatnonzero(np.r_[True, (cell[:, 1:] != cell[:, :-1]).any(0)])
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                yield from pairs(t.slice(i, j - i))
+            held = t.slice(cuts[-1])
+        if held is not None:
+            yield from pairs(held)
+
+    return cells.mapInArrow(compare, "a bigint, b bigint").distinct()
+
+
 def _indexed(uniq: DataFrame, sent, sketch: DataFrame, share: float) -> DataFrame:
     """(a, b), a < b: pairs that share a signature and that the bitmaps don't rule out; every link of a text that reaches
     the bound is among them, as of two texts the one whose prefix ends first has all its combinations met by the other."""
     sigs = _signature_rows(uniq, sent)
     runs = sigs.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_pairs_of_runs, "a bigint, b bigint, sig bigint, size bigint")
     runs = cut_lineage(runs)
-    light = runs.filter(F.col("b").isNotNull()).select("a", "b")
-    candidates = light.unionByName(_blockwise(runs.filter(F.col("b").isNull()))).distinct()
+    candidates = runs.filter(F.col("b").isNotNull()).select("a", "b").distinct()
+    heavy = _blockwise(runs.filter(F.col("b").isNull()), sketch, share)
 
     a = sketch.select(F.col("doc").alias("a"), F.col("n").alias("na"), *[F.col(f"s{i}").alias(f"a{i}") for i in range(BITS)])
     b = sketch.select(F.col("doc").alias("b"), F.col("n").alias("nb"), *[F.col(f"s{i}").alias(f"b{i}") for i in range(BITS)])
@@ -447,7 +476,7 @@ def _indexed(uniq: DataFrame, sent, sketch: DataFrame, share: float) -> DataFram
         return total
 
     most = F.least(F.col("na") - only("a", "b"), F.col("nb") - only("b", "a"))
-    return both.filter(most >= share * F.least("na", "nb") - 1e-9).select("a", "b")
+    return both.filter(most >= share * F.least("na", "nb") - 1e-9).select("a", "b").unionByName(heavy).distinct()
 
 
 def class_links(sets: DataFrame, *, share: float = SHARE, least: int = LEAST, exhaustive: bool = False, complete: bool = True, posting: float = POSTING, group: float = GROUP) -> DataFrame:
