@@ -7,7 +7,7 @@ sentences; a linear model over hashed features is fitted with numpy to the class
 
 where a negative part that falls below zero is pushed back, as the non-negative estimator demands. A confirmed
 text has mostly harmless sentences, so a first fit takes all of its sentences as P and a second only the one
-that scores highest. The prior is estimated from the share of U that reaches the score that half of P reaches. The threshold is
+that scores highest. The prior is estimated from the share of U that reaches the score that ``HIT`` of P reaches. The threshold is
 where the F1 of held-out texts, with precision taken from the prior, is highest.
 
 A text's score is the logistic of its highest sentence, over the whole text; a sentence ends at a stop, a line end or
@@ -212,6 +212,7 @@ def _balance(p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
 
 
 SLACKS = (1.0, 1.5, 2.0, 3.0)
+HIT = 0.6  # share of the confirmed texts over the score at which the prior is estimated
 
 
 def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epochs: int = 60, rate: float = 0.3, l2: float = 1e-6, floor: float = -0.2, slacks: tuple[float, ...] = SLACKS) -> Model:
@@ -220,7 +221,7 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
     Sentences, the prior and the threshold are judged across two folds, each by the model of the other, so none rests on
     scores of the texts that were fitted. The fit takes a multiple of the estimated prior (too small a prior in the risk
     loses toxic texts, too large a one takes harmless ones along); which of ``slacks`` and which threshold is decided by the
-    estimated F1 of held-out texts. Of the priors estimated at each multiple the least counts, as whatever is flagged
+    estimated F1 of held-out texts. Of the priors estimated at each multiple the two least count, as whatever is flagged
     wrongly adds to an estimate.
     """
     make = Features()
@@ -244,12 +245,13 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
     p, u = (place[1:cut].reshape(-1, 4), *p[1:]), (place[cut:].reshape(-1, 4), *u[1:])
 
     def held_out(weight: float) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of all sentences, by fits to the kept sentences of the other fold."""
         zp, zu = np.zeros(p[2]), np.zeros(u[2])
         for fold in (0, 1):
             mine, other = (p_doc % 2 == fold, u_doc % 2 == fold), (p_doc % 2 != fold, u_doc % 2 != fold)
-            if not all(x.any() for x in (*mine, *other)):
+            if not all(x.any() for x in (mine[0] & keep, mine[1], *other)):
                 continue
-            model = _fit(_part(p, mine[0]), _part(u, mine[1]), weight / per_text, epochs, rate, l2, floor, len(occur))
+            model = _fit(_part(p, mine[0] & keep), _part(u, mine[1]), weight / per_text, epochs, rate, l2, floor, len(occur))
             zp[other[0]], zu[other[1]] = _logits(_part(p, other[0]), model), _logits(_part(u, other[1]), model)
         return zp, zu
 
@@ -257,19 +259,21 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
         return _highest(zp, p_doc)[np.unique(p_doc)], _highest(zu, u_doc)[np.unique(u_doc)]
 
     def share(top_p: np.ndarray, top_u: np.ndarray) -> float:
-        return float(np.clip(2 * np.mean(top_u >= np.median(top_p)), 0.001, 0.3))
+        at = np.quantile(top_p, 1 - HIT)
+        return float(np.clip(np.mean(top_u >= at) / np.mean(top_p >= at), 0.001, 0.3))
 
+    keep = np.ones(p[2], bool)
     zp, zu = held_out(max(slacks) * prior)
     prior = share(*tops(zp, zu))
     # the highest sentence of each confirmed text; texts labelled wrongly have none that stands out
-    keep = (zp == _highest(zp, p_doc)[p_doc]) & (zp > np.quantile(zu, 1 - min(0.2, 3 * prior / per_text)))
-    if keep.sum() >= 4:
-        p, p_doc = _part(p, keep), p_doc[keep]
+    told = (zp == _highest(zp, p_doc)[p_doc]) & (zp > np.quantile(zu, 1 - min(0.2, 3 * prior / per_text)))
+    if told.sum() >= 4:
+        keep = told
     judged = [tops(*held_out(slack * prior)) for slack in slacks]
     weight = prior
-    prior = min(share(*tp) for tp in judged)
+    prior = float(np.mean(sorted(share(*tp) for tp in judged)[:2]))
     best = max(range(len(slacks)), key=lambda i: _balance(*judged[i], prior)[0])
-    fitted, b = _fit(p, u, slacks[best] * weight / per_text, epochs, rate, l2, floor, len(occur))
+    fitted, b = _fit(_part(p, keep), u, slacks[best] * weight / per_text, epochs, rate, l2, floor, len(occur))
     w = np.zeros(DIMENSIONS)
     w[occur] = fitted
     # a text without any known feature scores the bias, which must stay below the threshold
