@@ -212,13 +212,14 @@ def _balance(p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
 
 
 SLACKS = (1.0, 1.5, 2.0, 3.0)
+FOLDS = 3
 HIT = 0.6  # share of the confirmed texts over the score at which the prior is estimated
 
 
 def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epochs: int = 60, rate: float = 0.3, l2: float = 1e-6, floor: float = -0.2, slacks: tuple[float, ...] = SLACKS) -> Model:
     """A model from confirmed and unlabelled texts. Without confirmed texts every score is near 0.
 
-    Sentences, the prior and the threshold are judged across two folds, each by the model of the other, so none rests on
+    Sentences, the prior and the threshold are judged across folds, each by a model of the others, so none rests on
     scores of the texts that were fitted. The fit takes a multiple of the estimated prior (too small a prior in the risk
     loses toxic texts, too large a one takes harmless ones along); which of ``slacks`` and which threshold is decided by the
     estimated F1 of held-out texts. Of the priors estimated at each multiple the two least count, as whatever is flagged
@@ -244,11 +245,11 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
     cut = 1 + p[0].size
     p, u = (place[1:cut].reshape(-1, 4), *p[1:]), (place[cut:].reshape(-1, 4), *u[1:])
 
-    def held_out(weight: float) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of all sentences, by fits to the kept sentences of the other fold."""
+    def held_out(weight: float, folds: int = FOLDS) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of all sentences, by fits to the kept sentences of the other folds."""
         zp, zu = np.zeros(p[2]), np.zeros(u[2])
-        for fold in (0, 1):
-            mine, other = (p_doc % 2 == fold, u_doc % 2 == fold), (p_doc % 2 != fold, u_doc % 2 != fold)
+        for fold in range(folds):
+            other, mine = (p_doc % folds == fold, u_doc % folds == fold), (p_doc % folds != fold, u_doc % folds != fold)
             if not all(x.any() for x in (mine[0] & keep, mine[1], *other)):
                 continue
             model = _fit(_part(p, mine[0] & keep), _part(u, mine[1]), weight / per_text, epochs, rate, l2, floor, len(occur))
@@ -263,7 +264,7 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
         return float(np.clip(np.mean(top_u >= at) / np.mean(top_p >= at), 0.001, 0.3))
 
     keep = np.ones(p[2], bool)
-    zp, zu = held_out(max(slacks) * prior)
+    zp, zu = held_out(max(slacks) * prior, 2)
     prior = share(*tops(zp, zu))
     # the highest sentence of each confirmed text; texts labelled wrongly have none that stands out
     told = (zp == _highest(zp, p_doc)[p_doc]) & (zp > np.quantile(zu, 1 - min(0.2, 3 * prior / per_text)))
