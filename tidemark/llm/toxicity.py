@@ -7,7 +7,7 @@ sentences; a linear model over hashed features is fitted with numpy to the class
 
 where a negative part that falls below zero is pushed back, as the non-negative estimator demands. A confirmed
 text has mostly harmless sentences, so a first fit takes all of its sentences as P and a second only the one
-that scores highest. The prior is estimated from the share of U that reaches the score that ``HIT`` of P reaches. The threshold is
+that scores highest. The prior is estimated from the shares of U that reach the scores that ``HITS`` of P reach. The threshold is
 where the F1 of held-out texts, with precision taken from the prior, is highest.
 
 A text's score is the logistic of its highest sentence, over the whole text; a sentence ends at a stop, a line end or
@@ -203,17 +203,21 @@ def _highest(z: np.ndarray, doc: np.ndarray) -> np.ndarray:
 def _balance(p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
     """(F1, threshold) at the best threshold of held-out scores of confirmed (``p``) and unlabelled (``u``) texts: recall is the
     share of ``p`` over it, precision the prior times recall over the share of ``u`` over it."""
-    at = np.unique(np.concatenate([p, u[u >= np.quantile(u, 0.5)]]))
+    at = np.unique(np.concatenate([p, u]))
     recall = 1 - np.searchsorted(np.sort(p), at) / len(p)
     flagged = 1 - np.searchsorted(np.sort(u), at) / len(u)
     gain = 2 * prior * recall / (prior + np.maximum(flagged, prior * recall))
-    best = int(np.argmax(gain))
-    return float(gain[best]), float(at[best])
+    # F1 is flat below its top where hardly any score lies, and the prior is an estimate: of the thresholds from there down
+    # that are nearly as good, the middle of the widest gap between scores, where least depends on either
+    top, gap = int(np.argmax(gain)), np.diff(at, prepend=at[0])
+    best = int(np.argmax(np.where((gain >= NEAR * gain[top]) & (np.arange(len(at)) <= top), gap, -1)))
+    return float(gain[top]), float(at[best] - gap[best] / 2)
 
 
 SLACKS = (1.0, 1.5, 2.0, 3.0)
 FOLDS = 3
-HIT = 0.6  # share of the confirmed texts over the score at which the prior is estimated
+NEAR = 0.97  # of the best F1
+HITS = (0.4, 0.5, 0.6, 0.7)  # shares of the confirmed texts over the scores at which the prior is estimated
 
 
 def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epochs: int = 60, rate: float = 0.3, l2: float = 1e-6, floor: float = -0.2, slacks: tuple[float, ...] = SLACKS) -> Model:
@@ -222,7 +226,7 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
     Sentences, the prior and the threshold are judged across folds, each by a model of the others, so none rests on
     scores of the texts that were fitted. The fit takes a multiple of the estimated prior (too small a prior in the risk
     loses toxic texts, too large a one takes harmless ones along); which of ``slacks`` and which threshold is decided by the
-    estimated F1 of held-out texts. Of the priors estimated at each multiple the two least count, as whatever is flagged
+    estimated F1 of held-out texts; the model is the mean of the fits to the folds. Of the priors estimated at each multiple the two least count, as whatever is flagged
     wrongly adds to an estimate.
     """
     make = Features()
@@ -245,36 +249,40 @@ def train(positive: list[str], unlabelled: list[str], prior: float = 0.03, epoch
     cut = 1 + p[0].size
     p, u = (place[1:cut].reshape(-1, 4), *p[1:]), (place[cut:].reshape(-1, 4), *u[1:])
 
-    def held_out(weight: float, folds: int = FOLDS) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of all sentences, by fits to the kept sentences of the other folds."""
-        zp, zu = np.zeros(p[2]), np.zeros(u[2])
+    def held_out(weight: float, folds: int = FOLDS) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, float]]]:
+        """Scores of all sentences, by fits to the kept sentences of the other folds, and these fits."""
+        zp, zu, fits = np.zeros(p[2]), np.zeros(u[2]), []
         for fold in range(folds):
             other, mine = (p_doc % folds == fold, u_doc % folds == fold), (p_doc % folds != fold, u_doc % folds != fold)
             if not all(x.any() for x in (mine[0] & keep, mine[1], *other)):
                 continue
             model = _fit(_part(p, mine[0] & keep), _part(u, mine[1]), weight / per_text, epochs, rate, l2, floor, len(occur))
             zp[other[0]], zu[other[1]] = _logits(_part(p, other[0]), model), _logits(_part(u, other[1]), model)
-        return zp, zu
+            fits.append(model)
+        return zp, zu, fits
 
     def tops(zp: np.ndarray, zu: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return _highest(zp, p_doc)[np.unique(p_doc)], _highest(zu, u_doc)[np.unique(u_doc)]
 
     def share(top_p: np.ndarray, top_u: np.ndarray) -> float:
-        at = np.quantile(top_p, 1 - HIT)
-        return float(np.clip(np.mean(top_u >= at) / np.mean(top_p >= at), 0.001, 0.3))
+        at = np.quantile(top_p, 1 - np.array(HITS))
+        over_u, over_p = (np.mean(z[:, None] >= at, axis=0) for z in (top_u, top_p))
+        return float(np.clip(np.mean(over_u / over_p), 0.001, 0.3))
 
     keep = np.ones(p[2], bool)
-    zp, zu = held_out(max(slacks) * prior, 2)
+    zp, zu, _ = held_out(max(slacks) * prior, 2)
     prior = share(*tops(zp, zu))
     # the highest sentence of each confirmed text; texts labelled wrongly have none that stands out
     told = (zp == _highest(zp, p_doc)[p_doc]) & (zp > np.quantile(zu, 1 - min(0.2, 3 * prior / per_text)))
     if told.sum() >= 4:
         keep = told
-    judged = [tops(*held_out(slack * prior)) for slack in slacks]
-    weight = prior
+    tried = [held_out(slack * prior) for slack in slacks]
+    judged = [tops(zp, zu) for zp, zu, _ in tried]
     prior = float(np.mean(sorted(share(*tp) for tp in judged)[:2]))
     best = max(range(len(slacks)), key=lambda i: _balance(*judged[i], prior)[0])
-    fitted, b = _fit(_part(p, keep), u, slacks[best] * weight / per_text, epochs, rate, l2, floor, len(occur))
+    # the mean of the folds' fits, whose scores are of the scale the threshold was found on; one fit to all if there is no fold
+    fits = tried[best][2] or [_fit(_part(p, keep), u, slacks[best] * prior / per_text, epochs, rate, l2, floor, len(occur))]
+    fitted, b = np.mean([f[0] for f in fits], axis=0), float(np.mean([f[1] for f in fits]))
     w = np.zeros(DIMENSIONS)
     w[occur] = fitted
     # a text without any known feature scores the bias, which must stay below the threshold
