@@ -226,22 +226,33 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _word_counts(uniq: DataFrame) -> DataFrame:
-    """(word, n, m0..m3): texts and least document hashes of every word, combined map-side per batch; the row of word 0 has
-    the number of texts and ``m0`` the number of their words."""
+    """(word, n, m0..m3): texts and least document hashes of every word, combined map-side over a task's batches."""
     names = [f"m{q}" for q in range(MINIMA)]
 
+    def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        words, n, *low = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(words, kind="stable")
+        words = words[order]
+        first = np.flatnonzero(np.r_[True, words[1:] != words[:-1]])
+        return words[first], np.add.reduceat(n[order], first), *(np.minimum.reduceat(x[order], first) for x in low)
+
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
         for b in batches:
             words, sizes = _flat(b.column(1))
+            if not len(words):
+                continue
             of = np.repeat(b.column(0).to_numpy().view(np.uint64), sizes)
-            ids, at = np.unique(words, return_inverse=True)
-            low = []
-            for q in range(MINIMA):
-                h = _mix(of ^ np.uint64(0xA0761D6478BD642F * (q + 1) % (1 << 64))).view(np.int64)
-                least_of = np.full(len(ids), np.iinfo(np.int64).max)
-                np.minimum.at(least_of, at, h)
-                low.append(pa.array(least_of))
-            yield pa.RecordBatch.from_arrays([_signed(ids), pa.array(np.bincount(at, minlength=len(ids)).astype(np.int64)), *low], ["word", "n", *names])
+            low = [_mix(of ^ np.uint64(0xA0761D6478BD642F * (q + 1) % (1 << 64))).view(np.int64) for q in range(MINIMA)]
+            held.append(merged([(words, np.ones(len(words), np.int64), *low)]))
+            if sum(len(x[0]) for x in held) > 1_000_000:
+                held = [merged(held)]
+                if len(held[0][0]) > 500_000:
+                    yield pa.RecordBatch.from_arrays([_signed(held[0][0]), *map(pa.array, held[0][1:])], ["word", "n", *names])
+                    held = []
+        if held:
+            whole = merged(held)
+            yield pa.RecordBatch.from_arrays([_signed(whole[0]), *map(pa.array, whole[1:])], ["word", "n", *names])
 
     counted = uniq.select("doc", "words").mapInArrow(scan, "word bigint, n bigint, " + ", ".join(f"{m} bigint" for m in names))
     return counted.groupBy("word").agg(F.sum("n").alias("n"), *[F.min(m).alias(m) for m in names])
