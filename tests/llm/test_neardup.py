@@ -174,3 +174,53 @@ def test_recall_of_the_index_alone(spark):
     want = brute(rows, 0.75, 60)
     got = set(map(tuple, N.linked_pairs(df, "key", "text", complete=False).collect()))
     assert got <= want and len(got) >= 0.9 * len(want) > 50
+
+
+@pytest.mark.parametrize("density", [0.03, 0.1, 0.4])
+def test_groups_of_texts_lose_no_pair(monkeypatch, density):
+    """Bit-sliced sums over groups, in one tile and in several: the pairs that comparing each with each gives, each once."""
+    rs = np.random.default_rng(0)
+    bits = (rs.random((600, 64 * N.BITS)) < (rs.random(64 * N.BITS) ** 3 * density * 3).clip(0, 1)).astype(np.uint8)
+    for i in range(0, 599, 7):
+        bits[i + 1] = bits[i]
+        bits[i + 1, rs.integers(0, 64 * N.BITS, 8)] ^= 1
+    s, n = np.packbits(bits, axis=1, bitorder="little").view(np.uint64), bits.sum(1).astype(np.int64)
+    lacking = n[:, None] - bits.astype(int) @ bits.T.astype(int)
+    want = set(zip(*(z.tolist() for z in np.nonzero((lacking <= n[:, None] - np.ceil(0.75 * n - 1e-9)[:, None]) & (n[:, None] <= n)))))
+    for tile, work in ((N.TILE, N.WORK), (3, 1 << 11)):
+        monkeypatch.setattr(N, "TILE", tile)
+        monkeypatch.setattr(N, "WORK", work)
+        got = [pair for p, q in N._grouped(s, s, n, n, 0.75) for pair in zip(p.tolist(), q.tolist())]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_few_pairs_are_compared_one_by_one(monkeypatch):
+    """Of a million pairs of unlike texts less than a tenth come to a comparison of their own."""
+    rs = np.random.default_rng(1)
+    bits = np.zeros((1000, 64 * N.BITS), np.uint8)
+    for row in bits:
+        row[rs.choice(64 * N.BITS, 80, replace=False)] = 1
+    s, n = np.packbits(bits, axis=1, bitorder="little").view(np.uint64), np.full(1000, 80)
+    seen, ones = [], N._ones
+    monkeypatch.setattr(N, "_ones", lambda z: seen.append(len(z)) or ones(z))
+    monkeypatch.setattr(N, "_near", None)
+    got = [pair for p, q in N._grouped(s, s, n, n, 0.75) for pair in zip(p.tolist(), q.tolist())]
+    assert sorted(got) == [(i, i) for i in range(1000)] and sum(seen) < 100_000
+
+
+def test_index_only_of_what_certified_texts_share(spark):
+    """Texts with and without a certificate together: all links, though signatures only texts without one have aren't made."""
+    rs = random.Random(6)
+    rows = [(f"f{i:03}", " ".join(f"w{int(300 * rs.random() ** 2)}" for _ in range(120))) for i in range(80)]
+    rows += varied(random.Random(8), [f"w{i}" for i in range(100)], 10, 12, "u")
+    for i in range(40):
+        rows += varied(random.Random(i), [f"r{i}x{j}" for j in range(70)] + [f"w{j}" for j in range(10)], 2, 9, f"c{i:02}n")
+    df = spark.createDataFrame(rows, "key string, text string")
+    uniq = N.word_sets(df, "key", "text").filter("words is not null").select("doc", "words")
+    sent = spark.sparkContext.broadcast(N._classes(uniq, 0.75, 60, False, N.POSTING, N.GROUP))
+    reached = N._sketches(uniq, sent).filter("reached").count()
+    kept = N._certified(uniq, sent)
+    assert 0 < reached < uniq.count() and kept.any()
+    assert N._signature_rows(uniq, sent, spark.sparkContext.broadcast(np.packbits(kept))).count() < N._signature_rows(uniq, sent).count()
+    want = brute(rows, 0.75, 60)
+    assert len(want) >= 80 and set(map(tuple, N.linked_pairs(df, "key", "text").collect())) == want

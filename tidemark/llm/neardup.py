@@ -12,8 +12,10 @@ pairs that the bitmaps of their words don't rule out are verified on the word se
 
 Which links are found. Of a text whose prefix reaches that bound, all, whatever the differing words are. Texts whose prefix
 doesn't reach it (all texts made of a few hundred frequent words) have those links that any combination of their prefix
-survives, which the worst choice of differing words could prevent. After the index these texts are compared with
-each other on bitmaps, by a bound that no link fails, so that all links are found. That takes a few nanoseconds a pair but
+survives, which the worst choice of differing words could prevent. So these texts are compared with each other on bitmaps, by
+a bound that no link fails, and all links are found; the index is then made of the signatures that some text with a
+certificate has, as all other pairs are compared anyway. A text is compared with ``GROUPED`` others of like words at once, with
+all groups of a side in bit-sliced sums. That takes about a nanosecond a pair but
 grows with the square of the number of such texts; ``complete=False`` leaves it out, for collections of such texts that can't
 afford it, and then the index alone decides.
 
@@ -41,6 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranges import range_number
 from tidemark.session import cut_lineage, spread
 
 SHARE, LEAST = 0.75, 60
@@ -52,7 +55,12 @@ PHRASE = 1e-3  # share of texts over which words that come together are told
 BUCKETS = 1 << 21
 BLOCK = 200  # posting lists up to this length are paired as they are
 SIDE = 1000  # texts in one side of a block of a longer list
-CELL = 1 << 16  # texts in one side of a cell of the bitmap comparison
+CELL = 1 << 19  # texts in one side of a cell of the bitmap comparison
+GROUPED = 8  # texts of one side that are compared as one, before each by itself
+TILE = 1 << 10  # 64-bit words of groups, and all such words, that are summed at once
+WORK = 1 << 18
+OWN = 832  # most frequent words, each with a bit of its own in a sketch
+CERTIFIED = 1 << 22  # buckets of signatures by which those of texts with a certificate are told
 PIECE = 1 << 18  # combinations made at once
 
 _WORD = re.compile(r"[^\W_]+")
@@ -108,8 +116,10 @@ def _picks(c: int, k: int) -> Iterator[np.ndarray]:
 class Classes:
     """Class and slot of every word, and the prefixes and signatures of texts by them."""
 
-    def __init__(self, table: np.ndarray, slots: np.ndarray, skipped: np.ndarray, leads: np.ndarray, share: float, least: int, widest: int):
+    def __init__(self, table: np.ndarray, slots: np.ndarray, skipped: np.ndarray, leads: np.ndarray, share: float, least: int, widest: int, own: np.ndarray = np.zeros(0, np.uint64)):
         order = np.argsort(skipped)
+        self.rank = np.argsort(own)
+        self.own = own[self.rank]
         self.table, self.slots, self.skipped, self.leads, self.widest = table, slots, skipped[order], leads[order], widest
         self.tau_from = needed(share, least)
         self.rows: dict[tuple[int, int], np.ndarray] = {}
@@ -120,6 +130,15 @@ class Classes:
         hit = self.skipped[at] == words
         return hit, self.leads[at[hit]]
 
+    def bits(self, words: np.ndarray) -> np.ndarray:
+        """Bit of each word in a sketch: the most frequent words have one each, all others share the rest."""
+        hashed = _mix(words)
+        if not len(self.own):
+            return (hashed % np.uint64(64 * BITS)).astype(np.int64)
+        at = np.minimum(np.searchsorted(self.own, words), len(self.own) - 1)
+        place = np.where(self.own[at] == words, self.rank[at], OWN + (hashed % np.uint64(64 * BITS - OWN)).astype(np.int64))
+        return place * 389 % (64 * BITS)  # frequent words spread evenly
+
     def phrases(self, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(leading word, text) of every phrase that makes up half of a text's words or more."""
         hit, lead = self.follow(words)
@@ -267,27 +286,53 @@ def _classes(uniq: DataFrame, share: float, least: int, exhaustive: bool, postin
     follow = followers((r["word"], r["n"], tuple(r[f"m{q}"] for q in range(MINIMA))) for r in common if r["n"] / texts > bound[2])
     bucket = F.col("word").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")  # BUCKETS is a power of two
     held = counts.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n")).filter(F.col("n") > ONE).toArrow()
+    own = np.array([r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(OWN).collect()], np.int64).view(np.uint64)
     b, n = held.column("b").to_numpy(), held.column("n").to_numpy()
     table = np.ones(BUCKETS, np.uint8)
     kinds = np.minimum(2 + np.searchsorted(bound[2:], n / texts - 1e-12), 40)
     table[b] = kinds
     widths = np.bincount(kinds, weights=n / texts, minlength=256) if len(n) else np.zeros(256)
     slots = np.maximum(1, np.round(widths / group)).astype(np.int64)
-    return Classes(table, slots, np.array(list(follow), np.int64).view(np.uint64), np.array(list(follow.values()), np.int64).view(np.uint64), share, least, 40 if exhaustive else int(2 + np.searchsorted(bound[2:], min(REACH, bound[-1]))))
+    return Classes(table, slots, np.array(list(follow), np.int64).view(np.uint64), np.array(list(follow.values()), np.int64).view(np.uint64), share, least, 40 if exhaustive else int(2 + np.searchsorted(bound[2:], min(REACH, bound[-1]))), own)
 
 
-def _signature_rows(uniq: DataFrame, sent) -> DataFrame:
-    """(sig, doc) of every word-set class."""
+def _certified(uniq: DataFrame, sent) -> np.ndarray:
+    """Which buckets of signatures hold one of a text whose prefix reaches the bound."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = sent.value
+        found = np.zeros(CERTIFIED, bool)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                words, sizes = _flat(whole.column(0).slice(at, 1000))
+                reached = classes.parts(words, sizes)[-1]
+                if reached.any():
+                    for sigs, _ in classes.signatures(words[np.repeat(reached, sizes)], sizes[reached]):
+                        found[(sigs % np.uint64(CERTIFIED)).astype(np.int64)] = True
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(found).astype(np.int32))], ["b"])
+
+    out = np.zeros(CERTIFIED, bool)
+    out[uniq.select("words").mapInArrow(scan, "b int").distinct().toArrow().column("b").to_numpy()] = True
+    return out
+
+
+def _signature_rows(uniq: DataFrame, sent, kept=None) -> DataFrame:
+    """(sig, doc) of every word-set class; of the signatures in ``kept`` buckets (packed bits) if these are given."""
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = sent.value
+        wanted = None if kept is None else np.unpackbits(kept.value).astype(bool)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
                 words, sizes = _flat(b.column(1))
                 docs = b.column(0).to_numpy()
                 for sigs, of in classes.signatures(words, sizes):
-                    yield pa.RecordBatch.from_arrays([_signed(sigs), pa.array(docs[of])], ["sig", "doc"])
+                    if wanted is not None:
+                        some = wanted[(sigs % np.uint64(CERTIFIED)).astype(np.int64)]
+                        sigs, of = sigs[some], of[some]
+                    if len(sigs):
+                        yield pa.RecordBatch.from_arrays([_signed(sigs), pa.array(docs[of])], ["sig", "doc"])
 
     return uniq.select("doc", "words").mapInArrow(scan, "sig bigint, doc bigint")
 
@@ -349,7 +394,7 @@ def _sketches(uniq: DataFrame, sent) -> DataFrame:
                 b = whole.slice(at, 2000)
                 words, sizes = _flat(b.column(1))
                 bits = np.zeros((len(sizes), 64 * BITS), np.uint8)
-                bits[np.repeat(np.arange(len(sizes)), sizes), (_mix(words) % np.uint64(64 * BITS)).astype(np.int64)] = 1
+                bits[np.repeat(np.arange(len(sizes)), sizes), classes.bits(words)] = 1
                 table = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
                 reached = classes.parts(words, sizes)[-1]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes.astype(np.int32)), pa.array(reached), *(_signed(np.ascontiguousarray(table[:, i])) for i in range(BITS))], ["doc", "n", "reached", *(f"s{i}" for i in range(BITS))])
@@ -394,35 +439,161 @@ def _near(x: np.ndarray, y: np.ndarray | None, nx: np.ndarray, ny: np.ndarray, s
                     yield p[keep], q[keep]
 
 
+def _likeness(s: np.ndarray) -> np.ndarray:
+    """A number for each sketch (a row per text) by which texts of like words come together: its bits that fewer than half of
+    the texts have, the most frequent first."""
+    held = np.zeros(64 * BITS, np.int64)
+    for i in range(0, len(s), 1 << 14):
+        held += np.unpackbits(s[i : i + (1 << 14)].view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    key = np.zeros(len(s), np.uint64)
+    for bit in [b for b in np.argsort(-held, kind="stable") if 2 * held[b] <= len(s)][:40]:
+        key = (key << np.uint64(1)) | (s[:, bit // 64] >> np.uint64(bit % 64)) & np.uint64(1)
+    return key
+
+
+def _over(rows: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """Bit-sliced sums: of ``rows`` (row, text, word of 64 groups), which bits are set in more than ``limit`` (by text) rows.
+    ``rows`` are used up. The sum starts at a power of two less limit and one, so that more than the limit carries over."""
+    top = max(1, int(limit.max() + 1).bit_length())
+    start = (1 << top) - (limit + 1)
+    if len(rows) + int(start.max()) < 1 << top:
+        return np.zeros(rows.shape[1:], np.uint64)
+    carry, other = (np.empty((len(rows) // 2 + 2, *rows.shape[1:]), np.uint64) for _ in range(2))
+    odd = np.empty((len(rows) // 3 + 1, *rows.shape[1:]), np.uint64)
+    level = rows
+    for i in range(top):
+        one = (np.uint64(0) - (start >> i & 1).astype(np.uint64))[:, None]
+        n = 1
+        if len(level) > 1:
+            a, b, u = level[0], level[1], odd[0]
+            np.bitwise_xor(a, b, out=u)
+            np.bitwise_or(a & b, u & one, out=carry[0])
+            np.bitwise_xor(u, one, out=b)
+            level = level[1:]
+        else:
+            np.bitwise_and(level[0], one, out=carry[0])
+        while len(level) > 2:  # three rows of a weight make one, and one of twice the weight
+            h = len(level) // 3
+            a, b, c, u, up = level[:h], level[h : 2 * h], level[2 * h : 3 * h], odd[:h], carry[n : n + h]
+            np.bitwise_and(a, b, out=up)
+            np.bitwise_xor(a, b, out=u)
+            np.bitwise_xor(u, c, out=a)
+            np.bitwise_and(u, c, out=u)
+            np.bitwise_or(up, u, out=up)
+            n += h
+            rest = len(level) - 3 * h
+            level[h : h + rest] = level[3 * h :]
+            level = level[: h + rest]
+        if len(level) == 2:
+            np.bitwise_and(level[0], level[1], out=carry[n])
+            n += 1
+        level, carry, other = carry[:n], other, carry
+    return np.bitwise_or.reduce(level, 0)
+
+
+def _ones(s: np.ndarray) -> np.ndarray:
+    """Bits set in each row of sketches: counts of bytes, then of lanes of 16 bits, that can't run over."""
+    counts = np.bitwise_count(s).view(np.uint64)
+    both = counts[:, 0] + counts[:, 1]
+    lanes = np.uint64(0x00FF00FF00FF00FF)
+    both = (both & lanes) + (both >> np.uint64(8) & lanes)
+    return (both * np.uint64(0x0001000100010001) >> np.uint64(48)).astype(np.int64)
+
+
+def _grouped(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the pairs of sketches (a row per text) that may be linked, a text of ``x`` being the smaller or of equal size.
+
+    It lacks at most n - share * n of its words in the other, so at most as many of its bits in the union of a group that holds
+    the other. Its bits that fewest groups have are counted for all groups at once; what is left is compared with halves of groups
+    and then with texts."""
+    if not len(x) or not len(y):
+        return
+    spare, full = nx - np.ceil(share * nx - 1e-9).astype(np.int64), _ones(x)
+    order = np.argsort(_likeness(y), kind="stable")
+    more = -len(y) % (64 * GROUPED)
+    y, ny = np.concatenate([y[order], np.zeros((more, BITS), np.uint64)]), np.concatenate([ny[order], np.full(more, -1)])
+    groups, half = len(y) // GROUPED, GROUPED // 2
+    halves = np.bitwise_or.reduce(y.reshape(-1, half, BITS), 1)
+    whole = np.bitwise_or.reduce(halves.reshape(-1, 2, BITS), 1)
+    lacks = np.zeros((64 * BITS + 1, groups // 64), np.uint64)  # a row per bit, of the groups without it
+    for i in range(0, groups, 8192):
+        bits = np.unpackbits(whole[i : i + 8192].view(np.uint8), axis=1, bitorder="little")
+        lacks[:-1, i // 64 : i // 64 + len(bits) // 64] = ~np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
+    rare = np.argsort(-np.bitwise_count(lacks[:-1]).sum(1, dtype=np.int64), kind="stable")
+    lacks[:-1] = lacks[rare]
+    tile = min(lacks.shape[1], TILE)
+    by_size = np.argsort(nx, kind="stable")
+    at = 0
+    while at < len(x):
+        mine = by_size[at : at + max(1, WORK // (tile * (8 + 3 * int(spare[by_size[at]]))))]
+        at += len(mine)
+        bits = np.unpackbits(x[mine].view(np.uint8), axis=1, bitorder="little")[:, rare]
+        of, bit = np.nonzero(bits.view(bool))
+        nth = np.arange(len(of)) - np.searchsorted(of, np.arange(len(mine)))[of]
+        used = nth < 8 + 3 * int(spare[mine].max())
+        rows = np.full((int(nth[used].max(initial=0)) + 1, len(mine)), 64 * BITS)
+        rows[nth[used], of[used]] = bit[used]
+        for j in range(0, lacks.shape[1], tile):
+            near = ~_over(lacks[:, j : j + tile][rows], spare[mine])
+            left = np.bitwise_count(near).sum(dtype=np.int64)
+            if 4 * left > near.size * 64:  # groups rule out little here
+                part = slice(j * 64 * GROUPED, (j + tile) * 64 * GROUPED)
+                for p, q in _near(np.ascontiguousarray(x[mine].T), np.ascontiguousarray(y[part].T), nx[mine], ny[part], share):
+                    keep = nx[mine][p] <= ny[part][q]
+                    yield mine[p[keep]], order[q[keep] + part.start]
+                continue
+            eights = near.view(np.uint8).ravel()
+            some = np.flatnonzero(eights.astype(bool))
+            set_bits = np.flatnonzero(np.unpackbits(eights[some], bitorder="little").view(bool))
+            text, group = np.divmod(some[set_bits >> 3] * 8 + (set_bits & 7), near.shape[1] * 64)
+            text, group = mine[text], group + j * 64
+            for i in range(0, len(text), 1 << 11):
+                p, q = text[i : i + (1 << 11)], group[i : i + (1 << 11)]
+                for size, table in ((2, halves), (half, y)):
+                    p, q = np.repeat(p, size), (q[:, None] * size + np.arange(size)).ravel()
+                    common = x.take(p, 0)
+                    common &= table.take(q, 0)
+                    keep = full[p] - _ones(common) <= spare[p]
+                    p, q = p[keep], q[keep]
+                keep = nx[p] <= ny[q]
+                if keep.any():
+                    yield p[keep], order[q[keep]]
+
+
 def _compared(sketch: DataFrame, texts: int, share: float) -> DataFrame:
-    """(a, b), a < b: pairs of all of ``sketch`` that its bitmaps don't rule out. Texts go to sides of at most about CELL
-    texts, and each pair of sides is one task."""
+    """(a, b), a < b: pairs of all of ``sketch`` that its bitmaps don't rule out. Texts go by size to sides of about CELL
+    texts at most, and each pair of sides is one task."""
     cores = sketch.sparkSession.sparkContext.defaultParallelism
     m = max(1, ceil(texts / CELL))
     while m * (m + 1) < 4 * cores and texts > 1000 * m:
         m += 1
     names = [f"s{i}" for i in range(BITS)]
-    sides = sketch.select("doc", "n", *names).withColumn("at", F.pmod(F.xxhash64("doc"), F.lit(m)).cast("int"))
+    sides = sketch.select("doc", "n", *names).withColumn("at", range_number(sketch, ["n", "doc"], m))
     dealt = sides.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
     low, top = F.least("at", "other"), F.greatest("at", "other")
     cells = dealt.select((top * (top + 1) / 2).cast("int").alias("__low"), low.alias("__x"), (F.col("at") == low).alias("left"), (low == top).alias("own"), "doc", "n", *names)
     cells = cells.select((F.col("__low") + F.col("__x")).cast("int").alias("cell"), "left", "own", "doc", "n", *names).repartitionById(m * (m + 1) // 2, "cell")
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
+        sides: dict[bool, list[tuple[np.ndarray, ...]]] = {True: [], False: []}
+        own = False
+        for b in batches:
+            if not b.num_rows:
+                continue
+            own, left = b.column("own")[0].as_py(), b.column("left").to_numpy(zero_copy_only=False)
+            doc, n = b.column("doc").to_numpy(), b.column("n").to_numpy().astype(np.int64)
+            s = np.stack([b.column(c).to_numpy() for c in names], 1).view(np.uint64)
+            for which in (True, False):
+                if (left == which).any():
+                    sides[which].append((doc[left == which], n[left == which], s[left == which]))
+        if not sides[True] or not (own or sides[False]):
             return
-        t = pa.Table.from_batches(held)
-        left, own = t.column("left").to_numpy(), t.column("own").to_numpy()
-        doc, n = t.column("doc").to_numpy(), t.column("n").to_numpy().astype(np.int64)
-        s = np.stack([t.column(c).to_numpy() for c in names]).view(np.uint64)
-        if own[0]:
-            of, to, found = doc, doc, _near(s, None, n, n, share)
-        else:
-            of, to, found = doc[left], doc[~left], _near(np.ascontiguousarray(s[:, left]), np.ascontiguousarray(s[:, ~left]), n[left], n[~left], share)
-        for p, q in found:
+        of, nx, x = (np.concatenate(z) for z in zip(*sides.pop(True)))
+        to, ny, y = (of, nx, x) if own else (np.concatenate(z) for z in zip(*sides.pop(False)))
+        for p, q in _grouped(x, y, nx, ny, share):
             u, v = of[p], to[q]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+            other = u != v
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)[other]), pa.array(np.maximum(u, v)[other])], ["a", "b"])
 
     return cells.mapInArrow(compare, "a bigint, b bigint")
 
@@ -467,10 +638,10 @@ def _blockwise(heavy: DataFrame, sketch: DataFrame, share: float) -> DataFrame:
     return cells.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def _indexed(uniq: DataFrame, sent, sketch: DataFrame, share: float) -> DataFrame:
+def _indexed(uniq: DataFrame, sent, sketch: DataFrame, share: float, kept=None) -> DataFrame:
     """(a, b), a < b: pairs that share a signature and that the bitmaps don't rule out; every link of a text that reaches
     the bound is among them, as of two texts the one whose prefix ends first has all its combinations met by the other."""
-    sigs = _signature_rows(uniq, sent)
+    sigs = _signature_rows(uniq, sent, kept)
     runs = sigs.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_pairs_of_runs, "a bigint, b bigint, sig bigint, size bigint")
     runs = cut_lineage(runs)
     candidates = runs.filter(F.col("b").isNotNull()).select("a", "b").distinct()
@@ -495,10 +666,15 @@ def class_links(sets: DataFrame, *, share: float = SHARE, least: int = LEAST, ex
     uniq = sets.filter(F.col("words").isNotNull()).select("doc", "words")
     sent = sets.sparkSession.sparkContext.broadcast(_classes(uniq, share, least, exhaustive, posting, group))
     sketch = cut_lineage(_sketches(uniq, sent))
-    likely = _indexed(uniq, sent, sketch, share)
     if complete:
         rest = sketch.filter(~F.col("reached"))
-        likely = likely.unionByName(_compared(rest, rest.count(), share)).distinct()
+        likely = _compared(rest, rest.count(), share)
+        kept = _certified(uniq, sent)
+        if kept.any():
+            likely = likely.unionByName(_indexed(uniq, sent, sketch, share, sets.sparkSession.sparkContext.broadcast(np.packbits(kept))))
+        likely = likely.distinct()
+    else:
+        likely = _indexed(uniq, sent, sketch, share)
     likely = cut_lineage(likely)
 
     wanted = likely.select(F.col("a").alias("doc")).unionByName(likely.select(F.col("b").alias("doc"))).distinct()
