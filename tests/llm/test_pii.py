@@ -78,3 +78,24 @@ def test_lexicon_of_users(spark):
     users = spark.createDataFrame([("Zuri",), ("zuri",), ("Zuri K.",), ("Wen",), (None,), (" ",), ("x",), ("Inés",), ("inés",), ("Björn-Åke",), ("Björn-Åke",)], "name string")
     got = given_names(users, "name")
     assert {"zuri", "inés", "björn-åke"} <= set(got) and not {"wen", "in", "bj"} & set(got) and "maria" in got and set(given_names(users.limit(0), "name")) == set(GIVEN_NAMES)
+
+
+def test_lexicon_holds_all_names(spark):
+    """More names than 50 000, each of two users; the last one is found in a text."""
+    word = F.concat(F.lit("zu"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))
+    users = spark.range(50_100).select(F.explode(F.array(word, word)).alias("name"))
+    got = given_names(users, "name")
+    assert len(got) == 50_100 + len(GIVEN_NAMES) and {"zua", "zufaajj", "zujjjj"} <= set(got)
+    df = spark.createDataFrame([("r1", "Served by Zufaajj Kowalczyk that day. Served by Zujjjj Kowalczyk, too.")], "review_id string, text string")
+    assert sorted(map(tuple, find_pii(df, "review_id", "text", got).collect())) == [("r1", "NAME", 1), ("r1", "NAME", 2)]
+
+
+def test_a_failure_is_no_result(spark):
+    """No vocabulary, or a column that can't hold names: an error, not fewer names."""
+    df = spark.createDataFrame([("r1", "we met anna kowalczyk there")], "review_id string, text string")
+    assert sorted(map(tuple, find_pii(df, "review_id", "text").collect())) == [("r1", "NAME", 1)]
+    for query in (find_pii(df, "review_id", "text", folder="/nowhere"), df.select(redact(F.col("text"), folder="/nowhere"))):
+        with pytest.raises(Exception, match="nowhere"):
+            query.collect()
+    with pytest.raises(TypeError):
+        given_names(spark.range(3), "id")

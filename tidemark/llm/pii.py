@@ -10,7 +10,8 @@ A name is a given name and a surname, an initial and a surname, or a title and a
 the caller passes (``given_names`` reads one from a table of users); there is no list of surnames. A surname is any word that
 its context doesn't speak against: capitalised where the text has capitals; where given name and surname are all in small
 letters or all in capitals, a word that is no single entry of a public vocabulary, which holds the ordinary words of a language.
-So ordinary words as surnames ("anna baker" in small letters) aren't found; without the vocabulary no name in small letters is.
+So ordinary words as surnames ("anna baker" in small letters) aren't found. Where the vocabulary can't be read the query fails,
+rather than find fewer names.
 
 Whole texts are read, of any length. Null and empty texts hold no
 case. The same text in two deliveries of a review gives the same pieces, which count once.
@@ -422,22 +423,18 @@ class Finder:
 
 @lru_cache(4)
 def _finder(given: tuple[str, ...], folder: str, vocabulary: str) -> Finder:
-    try:
-        known = encoder(folder, vocabulary).ranks
-    except OSError:
-        known = None
-    return Finder(given, known)
-
-
-NAMES = 50_000  # given names of a lexicon at most: those that most users have
+    return Finder(given, encoder(folder, vocabulary).ranks)
 
 
 def given_names(users: DataFrame, name: str, least: int = 2) -> tuple[str, ...]:
-    """A lexicon from a column of users' names: first words that at least ``least`` users have, and the common names. Names
-    of users, not their texts, are all that is read."""
+    """A lexicon from a column of users' names: all first words that at least ``least`` users have, and the common names. Names
+    of users, not their texts, are all that is read. A column that isn't of strings holds no names and raises."""
+    kind = users.select(F.col(f"`{name}`")).schema[0].dataType.simpleString()
+    if not kind.startswith(("string", "varchar", "char")):
+        raise TypeError(f"names are strings, {name} is {kind}")
     first = F.lower(F.regexp_extract(F.col(f"`{name}`"), r"^\s*(\p{L}[\p{L}\p{M}'’\-]+)", 1))
     counts = users.select(first.alias("n")).filter(F.length("n") > 1).groupBy("n").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= least)
-    return tuple(sorted({r["n"] for r in counts.orderBy(F.desc("c"), "n").limit(NAMES).collect()} | set(GIVEN_NAMES)))
+    return tuple(sorted({r["n"] for r in counts.select("n").collect()} | set(GIVEN_NAMES)))
 
 
 def find_pii(df: DataFrame, key: str, text: str, given=GIVEN_NAMES, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
