@@ -204,3 +204,47 @@ def test_cities_two_edits_away_and_nearer_wrong_tokens(spark):
     rows = spark.createDataFrame([(f"b{i}", c, "HN") for i, (c, _) in enumerate(cases)], "business_id string, city string, state string")
     got = dict(map(tuple, canonical.map_rows(rows, "business_id", "city", "state", ref, "id", "city", "state").collect()))
     assert got == {f"b{i}": e for i, (_, e) in enumerate(cases)}
+
+
+# ---- mixing, any number of patterns ----
+
+
+def test_mix_is_the_same_at_any_number_of_patterns(spark, monkeypatch):
+    rows = [(f"{s}{i}", f"text {i} of {g}", s) for g, n in (("a", 40), ("b", 30), ("ab", 20), ("bc", 10), ("abc", 5)) for i in range(n) for s in g]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.4, 1), ("c", 0.1, 2)], "source string, target_share double, max_repeat int")
+    want = sorted(map(tuple, mixing.select_mix(docs, "doc_id", "text", "source", targets).collect()))
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 2)
+    assert sorted(map(tuple, mixing.select_mix(docs, "doc_id", "text", "source", targets).collect())) == want and len(want) > 20
+
+
+def test_fill_moves_what_others_took():
+    """As much as possible at least cost, against all ways to deal out a few tokens."""
+    rs = random.Random(3)
+    for _ in range(60):
+        tokens, most, quota = np.array([rs.randint(1, 2) for _ in range(2)]), np.array([rs.randint(1, 2) for _ in range(2)]), np.array([rs.randint(0, 4) for _ in range(2)])
+        holds = np.array([[rs.random() < 0.8 for _ in range(2)] for _ in range(2)])
+        cap = np.where(holds, tokens[:, None] * most, 0)
+
+        def cost(n, t):
+            return sum(i // t for i in range(n))
+
+        def rank(flow):
+            return -sum(map(sum, flow)), sum(cost(sum(r), t) + sum(cost(n, t) for n in r) for r, t in zip(flow, tokens.tolist()))
+
+        ways = [((a, b), (c, d)) for a in range(cap[0, 0] + 1) for b in range(cap[0, 1] + 1) for c in range(cap[1, 0] + 1) for d in range(cap[1, 1] + 1)]
+        ways = [w for w in ways if w[0][0] + w[1][0] <= quota[0] and w[0][1] + w[1][1] <= quota[1] and all(sum(r) <= m for r, m in zip(w, cap.max(1)))]
+        got = mixing.fill(tokens, holds, most, quota).tolist()
+        assert tuple(map(tuple, got)) in ways and rank(got) == min(map(rank, ways))
+        assert mixing.fill(tokens, holds, most, quota, False).sum() == -min(map(rank, ways))[0]
+
+
+def test_route_of_many_patterns():
+    """All of 20 000 patterns of 15 sources go to the flow, in seconds, and all shares are met."""
+    names = [f"s{i:02}" for i in range(15)]
+    patterns = {tuple(s for j, s in enumerate(names) if i >> j & 1): 100 + i % 977 for i in range(1, 20_001)}
+    target = {s: (1.0 + i % 3, 1 + i % 2) for i, s in enumerate(names)}
+    got = mixing.route(patterns, target)
+    by = {s: sum(v for (_, x), v in got.items() if x == s) for s in names}
+    assert all(abs(by[s] / sum(by.values()) - target[s][0] / sum(t[0] for t in target.values())) < 1e-3 for s in names)
+    assert any(len(p) > 1 and x != p[0] for p, x in got)

@@ -3,7 +3,8 @@
 Documents with the same text are one unit, which every source that has it may supply: its membership pattern. Units
 are aggregated by pattern, so the problem is a small graph whatever the corpus: source of flow -> patterns (tokens) ->
 sources (quota) -> sink. Min-cost flow routes token capacity; the k-th use of a pattern's tokens by a source costs k - 1,
-so repetition is taken last and spread evenly. The flow is then turned into documents: the units of a pattern are laid on
+so repetition is taken last and spread evenly. Shortest paths are looked for among the sources only, over the cheapest exchange that
+any pattern allows, and all patterns that allow it at that cost serve a path at once. The flow is then turned into documents: the units of a pattern are laid on
 a circle in the order of a seeded hash, and each source takes an arc of the length of its flow; a unit is used once for
 each time the arc passes its start.
 
@@ -13,68 +14,95 @@ over flows, to one part in ten thousand. A source without target is not used, no
 null source; null and empty texts have no tokens and are never selected. Offsets on the circle come from a histogram of
 hashes, so no pattern, however large, is sorted in one task.
 
-The patterns are at most the subsets of the sources with a target that occur. The largest ``MAX_PATTERNS`` go to the flow as
-they are; units of smaller ones, should there be more, are given to one of their sources each, drawn in proportion to the
-shares, so every unit stays in play and the shares are met as before, at a total that may be a little lower.
+All patterns go to the flow, however many: at most the subsets of the sources with a target that occur.
 """
 
-from collections import deque
-
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.encode import TOKENIZERS, VOCABULARY, token_count
 from tidemark.session import cut_lineage, spread
 
-MAX_PATTERNS = 100_000
+MAX_PATTERNS = 100_000  # arcs of up to so many patterns are broadcast, of more joined by the planner; no result depends on it
 BUCKETS = 1 << 16
 
 
-class Flow:
-    """Min-cost flow by shortest augmenting paths, on integers."""
-
-    def __init__(self, nodes: int):
-        self.to: list[int] = []
-        self.room: list[int] = []
-        self.cost: list[int] = []
-        self.out: list[list[int]] = [[] for _ in range(nodes)]
-
-    def edge(self, a: int, b: int, room: int, cost: int) -> int:
-        for x, y, r, c in ((a, b, room, cost), (b, a, 0, -cost)):
-            self.out[x].append(len(self.to))
-            self.to.append(y)
-            self.room.append(r)
-            self.cost.append(c)
-        return len(self.to) - 2
-
-    def run(self, s: int, t: int) -> int:
-        """Sends as much as possible from ``s`` to ``t`` at least cost."""
-        sent = 0
-        while True:
-            far = {s: 0}
-            by: dict[int, int] = {}
-            waiting, held = deque([s]), {s}
-            while waiting:
-                x = waiting.popleft()
-                held.discard(x)
-                for e in self.out[x]:
-                    y, d = self.to[e], far[x] + self.cost[e]
-                    if self.room[e] > 0 and d < far.get(y, 1 << 60):
-                        far[y], by[y] = d, e
-                        if y not in held:
-                            held.add(y)
-                            waiting.append(y)
-            if t not in far:
-                return sent
-            path, y = [], t
-            while y != s:
-                path.append(by[y])
-                y = self.to[by[y] ^ 1]
-            push = min(self.room[e] for e in path)
-            for e in path:
-                self.room[e] -= push
-                self.room[e ^ 1] += push
-            sent += push
+NEVER = 1 << 40  # cost of what isn't possible
+
+
+def _dealt(room: np.ndarray, n: int) -> np.ndarray:
+    """``n`` from the first of ``room`` on."""
+    return np.clip(n - (np.cumsum(room) - room), 0, room)
+
+
+def fill(tokens: np.ndarray, holds: np.ndarray, most: np.ndarray, quota: np.ndarray, priced: bool = True) -> np.ndarray:
+    """Tokens each source takes of each pattern (a row per pattern): as much of the quotas as possible, at least cost if ``priced``.
+
+    ``holds`` says which sources have a pattern, ``most`` how often a source may use its tokens. Successive shortest paths: tokens
+    that come from a pattern to one source, from where others go on to a second by another pattern, and so on to a source whose
+    quota isn't met. Paths of equal cost and fewest sources come first."""
+    cap = np.where(holds, tokens[:, None] * most, 0)
+    out_cap = cap.max(1, initial=0)  # the texts of a pattern can be used as often as its most generous source allows
+    step = tokens if priced else np.full(len(tokens), NEVER)  # tokens of one cost
+    flow, out, left = np.zeros_like(cap), np.zeros_like(out_cap), quota.copy()
+    sources, least = len(most), 0
+    while True:
+        level = flow // step[:, None]
+        more_room = np.minimum((level + 1) * step[:, None], cap) - flow
+        more = np.where(more_room > 0, level, NEVER)
+        top = (flow - 1) // step[:, None]
+        back_room = flow - top * step[:, None] * (flow > 0)
+        back = np.where(flow > 0, top, -NEVER)
+        out_level = out // step
+        out_room = np.minimum((out_level + 1) * step, out_cap) - out
+        enter = np.where(out_room > 0, out_level, NEVER)[:, None] + more
+        first = enter.min(0, initial=NEVER)
+        direct = np.where(left > 0, first, NEVER)
+        if sources and direct.min() <= least:  # paths never get cheaper, so this is one of the next
+            at = int(direct.argmin())
+            new = np.where(enter[:, at] == first[at], np.minimum(out_room, more_room[:, at]), 0)
+            n = min(int(left[at]), int(new.sum()))
+            new = _dealt(new, n)
+            out += new
+            flow[:, at] += new
+            left[at] -= n
+            continue
+        taken = [np.flatnonzero(flow[:, s]) for s in range(sources)]
+        swap = np.stack([(more[t] - back[t, s][:, None]).min(0, initial=NEVER) for s, t in enumerate(taken)]) if sources else np.zeros((0, 0), np.int64)
+        # cost first, then the number of sources on the way
+        far = np.where(first < NEVER, first * (sources + 2) + 1, NEVER * sources)
+        by = np.full(sources, -1)
+        for _ in range(sources):
+            through = np.where(swap < NEVER // 2, far[:, None] + swap * (sources + 2) + 1, NEVER * sources)
+            nearest = through.argmin(0)
+            better = through[nearest, np.arange(sources)] < far
+            if not better.any():
+                break
+            far = np.where(better, through[nearest, np.arange(sources)], far)
+            by = np.where(better, nearest, by)
+        ends = np.where(left > 0, far, NEVER * sources)
+        at = int(ends.argmin()) if sources else 0
+        if not sources or ends[at] >= NEVER:
+            return flow
+        path = [at]
+        while by[path[-1]] >= 0:
+            path.append(int(by[path[-1]]))
+        path.reverse()
+        s = path[0]
+        least = int(first[s]) + sum(int(swap[a, b]) for a, b in zip(path, path[1:]))
+        rooms = [np.where(enter[:, s] == first[s], np.minimum(out_room, more_room[:, s]), 0)]
+        for a, b in zip(path, path[1:]):
+            rooms.append(np.where(more[:, b] - back[:, a] == swap[a, b], np.minimum(more_room[:, b], back_room[:, a]), 0))
+        n = min(int(left[at]), *(int(r.sum()) for r in rooms))
+        new = _dealt(rooms[0], n)
+        out += new
+        flow[:, s] += new
+        for a, b, r in zip(path, path[1:], rooms[1:]):
+            moved = _dealt(r, n)
+            flow[:, a] -= moved
+            flow[:, b] += moved
+        left[at] -= n
 
 
 def route(patterns: dict[tuple[str, ...], int], target: dict[str, tuple[float, int]], total: int | None = None) -> dict[tuple[tuple[str, ...], str], int]:
@@ -89,51 +117,31 @@ def route(patterns: dict[tuple[str, ...], int], target: dict[str, tuple[float, i
     if total is not None:
         size = min(size, total)
 
-    def solve(size: int):
-        names, pats = sorted(has), sorted(p for p in patterns if has & set(p))
-        at = {s: 2 + i for i, s in enumerate(names)}
-        flow = Flow(2 + len(names) + len(pats))
-        quota = {s: round(share[s] * size) for s in names}
-        uses = []
-        for i, p in enumerate(pats):
-            node = 2 + len(names) + i
-            mine = [s for s in p if s in has]
-            # the texts of a pattern can be used as often as its most generous source allows
-            for k in range(max(target[s][1] for s in mine)):
-                flow.edge(0, node, patterns[p], k)
-            for s in mine:
-                uses.append((p, s, [flow.edge(node, at[s], patterns[p], k) for k in range(target[s][1])]))
-        ends = {s: flow.edge(at[s], 1, quota[s], 0) for s in names}
-        flow.run(0, 1)
-        got = {(p, s): sum(flow.room[e ^ 1] for e in es) for p, s, es in uses}
-        return got, min((flow.room[ends[s] ^ 1] / quota[s] for s in names if quota[s]), default=1.0)
-
-    got, worst = solve(size)
+    names, pats = sorted(has), sorted(p for p in patterns if patterns[p] > 0 and has & set(p))
+    tokens, most = np.array([patterns[p] for p in pats], np.int64), np.array([target[s][1] for s in names], np.int64)
+    nth = {s: i for i, s in enumerate(names)}
+    holds = np.zeros((len(pats), len(names)), bool)
+    for i, p in enumerate(pats):
+        holds[i, [nth[s] for s in p if s in has]] = True
+
+    def solve(size: int, priced: bool):
+        quota = np.array([round(share[s] * size) for s in names], np.int64)
+        flow = fill(tokens, holds, most, quota, priced)
+        return flow, min((n / q for n, q in zip(flow.sum(0).tolist(), quota.tolist()) if q), default=1.0)
+
+    _, worst = solve(size, False)
     if worst < 1 - 1e-6:
         # feasible below some size: quotas grow with it, and what fills larger ones fills smaller ones
-        low, high, got = 0, size, {}
+        low, high = 0, size
         while high - low > max(1, high // 10_000):
             mid = (low + high) // 2
-            tried, worst = solve(mid)
-            if worst >= 1 - 1e-6:
-                low, got = mid, tried
+            if solve(mid, False)[1] >= 1 - 1e-6:
+                low = mid
             else:
                 high = mid
-    return {k: v for k, v in got.items() if v > 0}
-
-
-def _folded(units: DataFrame, kept: list[list[str]], want: dict[str, tuple[float, int]], seed: int) -> DataFrame:
-    """``units`` with the patterns that aren't ``kept`` reduced to one of their sources, drawn by a hash in proportion to the
-    target shares, so that each source keeps its part of them."""
-    known = units.sparkSession.createDataFrame([(k, True) for k in kept], "pattern array<string>, known boolean")
-    weight = F.create_map(*[F.lit(x) for s, (share, _) in want.items() for x in (s, max(share, 1e-12))])
-
-    def drawn(s):
-        lot = (F.shiftrightunsigned(F.xxhash64("unit", s, F.lit(seed)), 11).cast("double") + 1) / float(1 << 53)
-        return F.struct((-F.log(lot) / F.element_at(weight, s)).alias("at"), s.alias("s"))
-
-    one = F.array(F.array_min(F.transform("pattern", drawn))["s"])
-    return units.join(F.broadcast(known), "pattern", "left").withColumn("pattern", F.when(F.col("known"), F.col("pattern")).otherwise(one)).drop("known")
+        size = low
+    got, _ = solve(size, True)
+    return {(pats[i], names[j]): int(got[i, j]) for i, j in zip(*(z.tolist() for z in np.nonzero(got)))}
 
 
 def select_mix(docs: DataFrame, key: str, text: str, source: str, targets: DataFrame, *, seed: int = 42, total: int | None = None, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -148,10 +156,7 @@ def select_mix(docs: DataFrame, key: str, text: str, source: str, targets: DataF
         per_source.groupBy("unit").agg(F.sort_array(F.collect_set("source")).alias("pattern"), F.max("tokens").alias("tokens"), F.map_from_entries(F.collect_list(F.struct("source", "key"))).alias("keys"))
         .withColumn("place", F.xxhash64("unit", F.lit(seed)))
     )
-    sizes = units.groupBy("pattern").agg(F.sum("tokens").alias("tokens")).orderBy(F.desc("tokens"), "pattern").limit(MAX_PATTERNS + 1).collect()
-    if len(sizes) > MAX_PATTERNS:
-        units = cut_lineage(_folded(units, [r["pattern"] for r in sizes[:MAX_PATTERNS]], want, seed))
-        sizes = units.groupBy("pattern").agg(F.sum("tokens").alias("tokens")).collect()
+    sizes = units.groupBy("pattern").agg(F.sum("tokens").alias("tokens")).collect()
     patterns = {tuple(r["pattern"]): int(r["tokens"]) for r in sizes}
     taken = route(patterns, want, total)
 
@@ -160,6 +165,7 @@ def select_mix(docs: DataFrame, key: str, text: str, source: str, targets: DataF
         arcs.append((list(p), s, spot.get(p, 0), n, patterns[p]))
         spot[p] = spot.get(p, 0) + n
     arc = docs.sparkSession.createDataFrame(arcs, "pattern array<string>, source string, start bigint, size bigint, whole bigint")
+    arc = F.broadcast(arc) if len(patterns) <= MAX_PATTERNS else arc
 
     # where a unit starts on its pattern's circle: the tokens of the buckets before, and of its bucket before it
     bucket = F.shiftrightunsigned(F.col("place"), 48)
@@ -173,7 +179,7 @@ def select_mix(docs: DataFrame, key: str, text: str, source: str, targets: DataF
     def passes(end):
         return F.floor((end - 1 - F.col("c")) / F.col("whole"))
 
-    used = at.join(F.broadcast(arc), "pattern").withColumn("uses", passes(F.col("start") + F.col("size")) - passes(F.col("start"))).filter("uses > 0 and tokens > 0")
+    used = at.join(arc, "pattern").withColumn("uses", passes(F.col("start") + F.col("size")) - passes(F.col("start"))).filter("uses > 0 and tokens > 0")
     return used.select(F.element_at("keys", F.col("source")).alias(key), "source", F.col("uses").cast("int").alias("uses"), "tokens")
 
 
